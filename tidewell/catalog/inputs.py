@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewell.session import scratch_path
+from tidewell.sources.files import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,7 +17,8 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("name"))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("name"))
+    return spread(docs, "id")
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -118,7 +118,7 @@ def _sizes_sql(docs: str) -> str:
 
 def search_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return postings.conjunctive_match(
-        _index(products(spark, sf_dir)), postings.query_tokens(name_queries(spark, sf_dir))
+        postings.posting_rows(_index(products(spark, sf_dir))), postings.query_tokens(name_queries(spark, sf_dir))
     )
 
 
@@ -128,7 +128,7 @@ def tfidf_weights(docs: DataFrame) -> DataFrame:
 
 
 def vocabulary_top100(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = tfidf.term_counts(postings.with_tokens(texts(spark, sf_dir), "name"))
+    counts = postings.term_counts(postings.with_tokens(texts(spark, sf_dir), "name"))
     return tfidf.vocabulary(counts, 100).select("token", "n", "n_docs")
 
 

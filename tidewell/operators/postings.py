@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewell.functions.text import tokenize
+from tidewell.session import materialize
 
 SEGMENT_IDS = 4096
 
@@ -13,9 +14,14 @@ def with_tokens(docs: DataFrame, text: str, tokenizer=tokenize) -> DataFrame:
     return docs.withColumn("token", tokenizer(F.col(text)))
 
 
-def token_rows(docs: DataFrame) -> DataFrame:
-    """(id, token ARRAY) -> (id, pos, token), one row per occurrence."""
-    return docs.select("id", F.posexplode("token").alias("pos", "token"))
+def term_counts(docs: DataFrame) -> DataFrame:
+    """(id, token ARRAY) -> (id, token, tf).
+
+    The outer explode keeps the planner from testing the list for being empty
+    in the scan, which would run the tokenizer a second time.
+    """
+    rows = docs.select("id", F.explode_outer("token").alias("token")).where(F.col("token").isNotNull())
+    return rows.groupBy("id", "token").agg(F.count("*").alias("tf"))
 
 
 def inverted_index(docs: DataFrame, segment_ids: int = SEGMENT_IDS) -> DataFrame:
@@ -25,11 +31,13 @@ def inverted_index(docs: DataFrame, segment_ids: int = SEGMENT_IDS) -> DataFrame
     into id ranges of ``segment_ids``, so that a token found in every document
     becomes many rows spread over all tasks instead of one row of any length.
     """
-    entry = F.struct("id", "pos")
+    repeated = F.transform(
+        F.array_sort(F.collect_list(F.struct("id", "tf"))), lambda x: F.array_repeat(x["id"], x["tf"].cast("int"))
+    )
     return (
-        token_rows(docs)
+        term_counts(docs)
         .groupBy("token", F.floor(F.col("id") / segment_ids).alias("segment"))
-        .agg(F.array_sort(F.collect_list(entry)).getField("id").alias("docu_list"))
+        .agg(F.flatten(repeated).alias("docu_list"))
     )
 
 
@@ -57,15 +65,17 @@ def query_tokens(queries: DataFrame, tokenizer=tokenize) -> DataFrame:
     )
 
 
-def conjunctive_match(index: DataFrame, wanted: DataFrame) -> DataFrame:
+def conjunctive_match(postings: DataFrame, wanted: DataFrame) -> DataFrame:
     """(qid, id) of the documents that hold every known token of the query.
 
-    Tokens the index does not know are ignored. Each query starts from its
+    ``postings`` has distinct (token, id). Tokens it does not know are ignored. Each query starts from its
     rarest token; the other tokens only filter those candidates by (token, id),
-    so a common token never multiplies with the queries that use it.
+    so a common token never multiplies with the queries that use it. The postings
+    are read once and kept for the queried tokens only.
     """
+    wanted = materialize(wanted, "query-tokens")
     probe = wanted.select("token").distinct()
-    hits = posting_rows(index.join(probe, "token", "left_semi"))
+    hits = materialize(postings.join(probe, "token", "left_semi").select("token", "id"), "query-postings")
     sizes = hits.groupBy("token").agg(F.count("*").alias("n_docs"))
     per_query = Window.partitionBy("qid")
     known = (

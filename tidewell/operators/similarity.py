@@ -8,12 +8,18 @@ neighbours, so the pairs of a feature that many rows share are never written out
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidewell.operators.postings import top_rows
 
+# the block helpers travel with each task, so executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SIM_DIGITS = 6
 TILE_IDS = 2048
 MIN_TILE_IDS = 256

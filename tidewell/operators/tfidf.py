@@ -4,12 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidewell.operators.postings import token_rows
-
-
-def term_counts(docs: DataFrame) -> DataFrame:
-    """(id, token ARRAY) -> (id, token, tf)."""
-    return token_rows(docs).groupBy("id", "token").agg(F.count("*").alias("tf"))
+from tidewell.operators.postings import term_counts
 
 
 def smooth_idf(n_docs: Column, doc_freq: Column) -> Column:

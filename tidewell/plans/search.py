@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidewell import schemas
 from tidewell.functions.text import tokenize
 from tidewell.operators import postings, tfidf
+from tidewell.session import materialize
 from tidewell.sinks.tables import build_if_missing
 from tidewell.sources.files import read_delimited
 
@@ -43,7 +44,8 @@ def search(
     ``candidate`` weighs terms within each query's own matches and sums all
     terms of a document; ``corpus`` weighs over all products, keeps the
     ``max_features`` most frequent terms and sums the query's terms only.
-    A query without matches gives no rows.
+    A query without matches gives no rows. With an ``index`` the match reads that,
+    else the products' own terms.
     """
     if mode not in ("candidate", "corpus"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -51,12 +53,13 @@ def search(
         raise ValueError("queries need the columns qid and query")
     if "token" not in products.columns:
         products = postings.with_tokens(products, "name", tokenizer)
-    if index is None:
-        index = postings.inverted_index(products)
+    rows = postings.term_counts(products) if index is None else postings.posting_rows(index)
     wanted = postings.query_tokens(queries, tokenizer)
-    matches = postings.conjunctive_match(index, wanted)
+    matches = materialize(postings.conjunctive_match(rows, wanted), "matches")
     if mode == "candidate":
-        scores = tfidf.scoped_scores(matches, tfidf.term_counts(products))
+        found = products.join(matches.select("id").distinct(), "id", "left_semi")
+        counts = materialize(postings.term_counts(found), "matched-terms")
+        scores = tfidf.scoped_scores(matches, counts)
     else:
         scores = tfidf.query_scores(matches, tfidf.corpus_weights(products, max_features), wanted)
     scores = scores.withColumn("score", F.round("score", SCORE_DIGITS))

@@ -74,6 +74,16 @@ def read_connector(spark: SparkSession, fmt: str = "parquet", path: str | None =
     return reader.load(path) if path else reader.load()
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash a scan over all cores by ``key`` if it has fewer splits than a few per core.
+
+    A file with one large row group is read by one task; work on long texts would
+    stay in that task. Large inputs have splits enough and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < 3 * cores else df
+
+
 def number_series(spark: SparkSession, start: int, stop: int, factor: int = 5) -> DataFrame:
     """x from ``start`` to ``stop`` - 1 with y = factor * x."""
     return spark.range(start, stop).select(F.col("id").alias("x"), (F.col("id") * factor).alias("y"))
