@@ -1,0 +1,106 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tidewell.operators import postings as P, tfidf
+from tidewell.plans.search import open_store, search
+
+PRODUCTS = [
+    (153709120, "갤럭시 중고폰"),
+    (153709376, "연예인 지갑 지갑"),
+    (153710656, "갤럭시s10 갤럭시북 NT950XDZ-G58AW 중고폰"),
+]
+
+
+@pytest.fixture(scope="module")
+def products(spark):
+    return spark.createDataFrame(PRODUCTS, "id long, name string")
+
+
+def ask(spark, products, *queries, **settings):
+    batch = spark.createDataFrame([(str(i), q) for i, q in enumerate(queries)], "qid string, query string")
+    rows = search(products, batch, **settings).orderBy("qid", "rank").collect()
+    return [(r["qid"], r["pid"], r["score"]) for r in rows]
+
+
+def test_candidate_scope(spark, products):
+    assert ask(spark, products, "갤럭시 중고폰") == [("0", 153710656, 2.208064), ("0", 153709120, 1.414214)]
+
+
+def test_corpus_scope(spark, products):
+    found = ask(spark, products, "갤럭시 중고폰", mode="corpus")
+    assert found == [("0", 153709120, 1.414214), ("0", 153710656, 0.746044)]
+
+
+def test_repeated_word_counts_twice_in_corpus_scope_only(spark, products):
+    once, twice = ("0", 153709376, 0.894427), ("1", 153709376, 1.788854)
+    assert ask(spark, products, "지갑", "지갑 지갑", mode="corpus") == [once, twice]
+    plain = ask(spark, products, "지갑", "지갑 지갑")
+    assert plain[0][1:] == plain[1][1:]
+
+
+def test_unknown_words_are_ignored_beside_known_ones(spark, products):
+    assert [r[1] for r in ask(spark, products, "nothing 지갑")] == [153709376]
+    assert ask(spark, products, "nothing", "+ +", "") == []
+
+
+def test_all_known_words_must_match(spark, products):
+    assert ask(spark, products, "지갑 중고폰") == []
+
+
+def test_limits_and_arguments(spark, products):
+    assert len(ask(spark, products, "중고폰", k=1)) == 1
+    with pytest.raises(ValueError):
+        ask(spark, products, "x", mode="other")
+    with pytest.raises(ValueError):
+        search(products, spark.createDataFrame([("x",)], "qid string"))
+
+
+def test_weights(spark, products):
+    rows = tfidf.corpus_weights(P.with_tokens(products, "name"), 100).collect()
+    got = {(r["id"], r["token"]): round(r["weight"], 6) for r in rows}
+    assert got == {
+        (153709120, "갤럭시"): 0.707107, (153709120, "중고폰"): 0.707107,
+        (153709376, "연예인"): 0.447214, (153709376, "지갑"): 0.894427,
+        (153710656, "nt950xdz-g58aw"): 0.490479, (153710656, "s10"): 0.490479,
+        (153710656, "갤럭시북"): 0.490479, (153710656, "갤럭시"): 0.373022, (153710656, "중고폰"): 0.373022,
+    }
+
+
+def test_vocabulary_cap_prefers_frequent_then_smaller_terms(spark):
+    docs = spark.createDataFrame([(1, "b b a c"), (2, "c d")], "id long, name string")
+    kept = P.with_tokens(docs, "name")
+    rows = tfidf.vocabulary(P.term_counts(kept), 3).collect()
+    assert [(r["token"], r["n"], r["n_docs"]) for r in rows] == [("b", 2, 1), ("c", 2, 2), ("a", 1, 1)]
+
+
+def test_index_keeps_one_entry_per_occurrence(spark, products):
+    rows = P.inverted_index(P.with_tokens(products, "name")).collect()
+    assert {r["token"]: r["docu_list"] for r in rows}["지갑"] == [153709376, 153709376]
+
+
+def test_index_segments_are_bounded_and_whole(spark):
+    docs = spark.range(1000).select("id", F.array(F.lit("hot"), F.col("id").cast("string")).alias("token"))
+    rows = P.inverted_index(docs, 64).where("token = 'hot'").orderBy("segment").collect()
+    assert max(len(r["docu_list"]) for r in rows) == 64
+    assert [i for r in rows for i in r["docu_list"]] == list(range(1000))
+
+
+def test_match_agrees_with_brute_force(spark):
+    names = [(i, f"w{i % 2} x{i % 3} y{i % 5} w{i % 2}") for i in range(60)]
+    docs = P.with_tokens(spark.createDataFrame(names, "id long, name string"), "name")
+    asked = {f"w{a} {x} y{c} zzz": {f"w{a}", x, f"y{c}"} for a in range(2) for x in ("x1", "x7") for c in range(5)}
+    batch = spark.createDataFrame([(q, q) for q in asked], "qid string, query string")
+    rows = P.posting_rows(P.inverted_index(docs, 16))
+    found = {(r["qid"], r["id"]) for r in P.conjunctive_match(rows, P.query_tokens(batch)).collect()}
+    known = {t for _, n in names for t in n.split()}
+    assert found == {(q, i) for q, words in asked.items() for i, n in names if words & known <= set(n.split())}
+
+
+def test_store_is_built_once(spark, tmp_path, products):
+    raw, store = str(tmp_path / "raw"), str(tmp_path / "store")
+    products.coalesce(1).write.csv(raw, sep="\t", header=True)
+    data, index = open_store(spark, raw, store)
+    before = sorted(p.name for p in (tmp_path / "store" / "index").iterdir())
+    data, index = open_store(spark, str(tmp_path / "gone"), store)
+    assert before == sorted(p.name for p in (tmp_path / "store" / "index").iterdir())
+    assert ask(spark, data, "갤럭시 중고폰", index=index)[0] == ("0", 153710656, 2.208064)

@@ -24,6 +24,7 @@ SIM_DIGITS = 6
 TILE_IDS = 2048
 MIN_TILE_IDS = 256
 SPREAD_TILES = 8
+FEW_TILES = 16
 TASK_ROWS = 2_000_000
 SLICE_PRODUCTS = 4_000_000
 DENSE_FEATURES = 512
@@ -128,28 +129,40 @@ def _best(rows: np.ndarray, columns: np.ndarray, sims: np.ndarray, k: int, itsel
     )
 
 
-def _tiled(vectors: DataFrame, n_tiles: int, n_chunks: int) -> DataFrame:
-    """Send every row to all tile pairs (a <= b) its tile is part of."""
-    tile = F.pmod(F.xxhash64("id"), F.lit(n_tiles)).cast("int")
-    chunk = F.pmod(F.xxhash64("feature"), F.lit(n_chunks)).cast("int")
-    placed = vectors.select("id", "feature", "weight", tile.alias("tile"), chunk.alias("chunk"))
-    return placed.withColumn("partner", F.explode(F.sequence(F.lit(0), F.lit(n_tiles - 1)))).select(
-        F.least("tile", "partner").alias("a"), F.greatest("tile", "partner").alias("b"),
-        "chunk", "tile", "id", "feature", "weight",
-    )
-
+def _layout(vectors: DataFrame, tile_ids: int, task_rows: int) -> list[int]:
+    """Chunks per tile such that a task holds about ``task_rows`` rows of two tiles.
 
-def _layout(vectors: DataFrame, tile_ids: int, task_rows: int) -> tuple[int, int]:
-    """Tiles and feature chunks such that a task holds about ``task_rows`` rows.
-
-    Chunks are sized by the fullest tile: an id with a third of all rows makes its
-    tile long, and then its features are split over several tasks.
+    A tile gets several chunks where one of its ids has very many rows.
     """
     n_ids = vectors.agg(F.count_distinct("id")).first()[0]
     n_tiles = _tile_count(n_ids, tile_ids)
-    per_tile = vectors.groupBy(F.pmod(F.xxhash64("id"), F.lit(n_tiles)).alias("tile")).count()
-    fullest = per_tile.agg(F.max("count")).first()[0] or 0
-    return n_tiles, max(1, -(-2 * fullest // task_rows))
+    sizes = vectors.groupBy(F.pmod(F.xxhash64("id"), F.lit(n_tiles)).alias("tile")).count().collect()
+    chunks = [1] * n_tiles
+    for row in sizes:
+        chunks[row["tile"]] = max(1, -(-2 * row["count"] // task_rows))
+    return chunks
+
+
+def _tiled(vectors: DataFrame, chunks: list[int]) -> DataFrame:
+    """Send every row to the tile pairs (a <= b) where its feature can meet another row.
+
+    A pair is cut by feature into as many chunks as its fuller tile asks for.
+    """
+    n_tiles = len(chunks)
+    tile = F.pmod(F.xxhash64("id"), F.lit(n_tiles)).cast("int")
+    placed = vectors.select("id", "feature", "weight", tile.alias("tile"))
+    if n_tiles <= FEW_TILES:
+        sent = placed.withColumn("partner", F.explode(F.sequence(F.lit(0), F.lit(n_tiles - 1))))
+    else:
+        met = placed.groupBy("feature").agg(F.collect_set("tile").alias("tiles"))
+        sent = placed.join(met, "feature").withColumn("partner", F.explode("tiles"))
+    per_tile = F.lit(chunks)
+    n_chunks = F.greatest(per_tile[F.col("tile")], per_tile[F.col("partner")])
+    return sent.select(
+        F.least("tile", "partner").alias("a"), F.greatest("tile", "partner").alias("b"),
+        n_chunks.alias("chunks"), F.pmod(F.xxhash64("feature"), n_chunks).alias("chunk"),
+        "tile", "id", "feature", "weight",
+    )
 
 
 def _sides(group: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame, bool]:
@@ -159,16 +172,9 @@ def _sides(group: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame, bool]:
     return group[group["tile"] == a], group[group["tile"] == b], False
 
 
-def pair_products(
-    vectors: DataFrame, tile_ids: int = TILE_IDS, task_rows: int = TASK_ROWS, layout: tuple[int, int] | None = None
-) -> DataFrame:
-    """(left, right, product) of all pairs with a product, each pair once, left <= right.
-
-    ``vectors`` is read several times: hand over a materialised table with
-    unique (id, feature).
-    """
-    n_tiles, n_chunks = layout or _layout(vectors, tile_ids, task_rows)
-    kind = vectors.schema["id"].dataType
+def _products(tiled: DataFrame, split: bool) -> DataFrame:
+    """(left, right, product) of all pairs of a tiled frame, each pair once, left <= right."""
+    kind = tiled.schema["id"].dataType
     out = T.StructType([
         T.StructField("left", kind), T.StructField("right", kind), T.StructField("product", T.DoubleType())
     ])
@@ -183,47 +189,54 @@ def pair_products(
             {"left": np.where(swap, two, one), "right": np.where(swap, one, two), "product": matrix[r, c]}
         )
 
-    pairs = _tiled(vectors, n_tiles, n_chunks).groupBy("a", "b", "chunk").applyInPandas(products, out)
-    if n_chunks > 1:
-        pairs = pairs.groupBy("left", "right").agg(F.sum("product").alias("product"))
-    return pairs
+    pairs = tiled.groupBy("a", "b", "chunk").applyInPandas(products, out)
+    return pairs.groupBy("left", "right").agg(F.sum("product").alias("product")) if split else pairs
+
+
+def pair_products(vectors: DataFrame, tile_ids: int = TILE_IDS, task_rows: int = TASK_ROWS) -> DataFrame:
+    """(left, right, product) of all pairs with a product, each pair once, left <= right.
+
+    For few ids: the result has a row per pair. ``vectors`` is read several times:
+    hand over a materialised table with unique (id, feature).
+    """
+    chunks = _layout(vectors, tile_ids, task_rows)
+    return _products(_tiled(vectors, chunks), max(chunks) > 1)
 
 
-def top_similar(
-    vectors: DataFrame, k: int, tile_ids: int = TILE_IDS, task_rows: int = TASK_ROWS
-) -> DataFrame:
+def top_similar(vectors: DataFrame, k: int, tile_ids: int = TILE_IDS, task_rows: int = TASK_ROWS) -> DataFrame:
     """(id, neighbor, sim, rank): the ``k`` most similar other rows of every row.
 
-    Only positive similarities count. ``vectors`` is read several times: hand
-    over a materialised table with unique (id, feature).
+    Only positive similarities count. Tasks that see all of a tile pair keep its
+    best neighbours at once; where a pair had to be cut, the parts are added up
+    first. ``vectors`` is read several times: hand over a materialised table with
+    unique (id, feature).
     """
-    layout = _layout(vectors, tile_ids, task_rows)
-    units = unit_rows(vectors)
+    chunks = _layout(vectors, tile_ids, task_rows)
+    tiled = _tiled(unit_rows(vectors), chunks)
     kind = vectors.schema["id"].dataType
-    if layout[1] == 1:
-        out = T.StructType([
-            T.StructField("id", kind), T.StructField("neighbor", kind), T.StructField("sim", T.DoubleType())
-        ])
-
-        def neighbors(group: pd.DataFrame) -> pd.DataFrame:
-            left, right, itself = _sides(group)
-            rows, columns, sims = _multiply(left, right)
-            found = _best(rows, columns, sims, k, itself)
-            return found if itself else pd.concat([found, _best(columns, rows, sims.T, k, False)])
-
-        pairs = _tiled(units, *layout).groupBy("a", "b", "chunk").applyInPandas(neighbors, out)
-    else:
-        once = (
-            pair_products(units, layout=layout)
+    out = T.StructType([
+        T.StructField("id", kind), T.StructField("neighbor", kind), T.StructField("sim", T.DoubleType())
+    ])
+
+    def neighbors(group: pd.DataFrame) -> pd.DataFrame:
+        left, right, itself = _sides(group)
+        rows, columns, sims = _multiply(left, right)
+        found = _best(rows, columns, sims, k, itself)
+        return found if itself else pd.concat([found, _best(columns, rows, sims.T, k, False)])
+
+    pairs = tiled.where("chunks = 1").groupBy("a", "b", "chunk").applyInPandas(neighbors, out)
+    if max(chunks) > 1:
+        sims = (
+            _products(tiled.where("chunks > 1"), True)
             .where(F.col("left") != F.col("right"))
             .withColumn("sim", F.round("product", SIM_DIGITS))
             .where("sim > 0")
         )
-        both = F.array(
+        ends = F.array(
             F.struct(F.col("left").alias("id"), F.col("right").alias("neighbor")),
             F.struct(F.col("right").alias("id"), F.col("left").alias("neighbor")),
         )
-        pairs = once.select(F.explode(both).alias("p"), "sim").select("p.*", "sim")
+        pairs = pairs.unionByName(sims.select(F.explode(ends).alias("p"), "sim").select("p.*", "sim"))
     return top_rows(pairs, ["id"], [F.desc("sim"), F.col("neighbor")], k)
 
 
