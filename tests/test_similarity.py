@@ -54,9 +54,17 @@ def test_pair_products(spark, matrix, settings):
     }
 
 
-def test_a_long_row_is_cut_into_chunks(spark, matrix):
-    chunks = S._layout(frame(spark, matrix), 4, 30)
-    assert len(chunks) > S.FEW_TILES and max(chunks) > 1 and min(chunks) == 1
+def test_long_rows_get_tiles_of_their_own(spark, matrix):
+    layout = S._layout(frame(spark, matrix), 4, 30)
+    own = [r["id"] for r in layout.long_ids.collect()]
+    assert 5 in own and layout.chunks[layout.hashed + own.index(5)] > 1
+    assert len(layout.chunks) > S.FEW_TILES and min(layout.chunks) == 1
+
+
+def test_more_long_rows_than_tiles_for_them(spark, matrix, monkeypatch):
+    monkeypatch.setattr(S, "MOST_LONG_IDS", 2)
+    rows = S.top_similar(frame(spark, matrix), 6, tile_ids=30, task_rows=20).collect()
+    assert {(r["id"], r["neighbor"], r["sim"], r["rank"]) for r in rows} == best(cosine(matrix), 6)
 
 
 def test_similar_to_one_row(spark, matrix):

@@ -14,13 +14,15 @@ def with_tokens(docs: DataFrame, text: str, tokenizer=tokenize) -> DataFrame:
     return docs.withColumn("token", tokenizer(F.col(text)))
 
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """(id, token ARRAY) -> (id, token, tf).
+def term_counts(docs: DataFrame, only: DataFrame | None = None) -> DataFrame:
+    """(id, token ARRAY) -> (id, token, tf), of all tokens or of the few in ``only``.
 
     The outer explode keeps the planner from testing the list for being empty
     in the scan, which would run the tokenizer a second time.
     """
     rows = docs.select("id", F.explode_outer("token").alias("token")).where(F.col("token").isNotNull())
+    if only is not None:
+        rows = rows.join(only.select("token"), "token", "left_semi")
     return rows.groupBy("id", "token").agg(F.count("*").alias("tf"))
 
 

@@ -9,6 +9,7 @@ neighbours, so the pairs of a feature that many rows share are never written out
 from __future__ import annotations
 
 import sys
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -21,11 +22,12 @@ from tidewell.operators.postings import top_rows
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SIM_DIGITS = 6
-TILE_IDS = 2048
+TILE_IDS = 1024
 MIN_TILE_IDS = 256
 SPREAD_TILES = 8
 FEW_TILES = 16
-TASK_ROWS = 2_000_000
+MOST_LONG_IDS = 1000
+TASK_ROWS = 500_000
 SLICE_PRODUCTS = 4_000_000
 DENSE_FEATURES = 512
 
@@ -129,34 +131,57 @@ def _best(rows: np.ndarray, columns: np.ndarray, sims: np.ndarray, k: int, itsel
     )
 
 
-def _layout(vectors: DataFrame, tile_ids: int, task_rows: int) -> list[int]:
-    """Chunks per tile such that a task holds about ``task_rows`` rows of two tiles.
+@dataclass
+class Layout:
+    """Hashed tiles 0 .. ``hashed`` - 1, one more tile per long id, and the chunks of every tile."""
 
-    A tile gets several chunks where one of its ids has very many rows.
-    """
-    n_ids = vectors.agg(F.count_distinct("id")).first()[0]
-    n_tiles = _tile_count(n_ids, tile_ids)
-    sizes = vectors.groupBy(F.pmod(F.xxhash64("id"), F.lit(n_tiles)).alias("tile")).count().collect()
-    chunks = [1] * n_tiles
-    for row in sizes:
-        chunks[row["tile"]] = max(1, -(-2 * row["count"] // task_rows))
-    return chunks
+    hashed: int
+    long_ids: DataFrame | None
+    chunks: list[int]
+
+    def place(self, vectors: DataFrame) -> DataFrame:
+        tile = F.pmod(F.xxhash64("id"), F.lit(self.hashed)).cast("int")
+        if self.long_ids is None:
+            return vectors.withColumn("tile", tile)
+        own = vectors.join(F.broadcast(self.long_ids), "id", "left")  # at most MOST_LONG_IDS rows
+        return own.withColumn("tile", F.coalesce("own_tile", tile)).drop("own_tile")
 
 
-def _tiled(vectors: DataFrame, chunks: list[int]) -> DataFrame:
+def _layout(vectors: DataFrame, tile_ids: int, task_rows: int) -> Layout:
+    """Tiles and chunks such that a task holds about ``task_rows`` rows of two tiles.
+
+    An id with very many rows gets a tile of its own, cut into chunks by feature:
+    adding up the chunks of one id's products is cheap. Should there be more long
+    ids than that, their hashed tiles are cut in the same way.
+    """
+    sizes = vectors.groupBy("id").agg(F.count("*").alias("n"))
+    n_ids, longest = sizes.agg(F.count("*"), F.max("n")).first()
+    hashed, long_ids = _tile_count(n_ids, tile_ids), None
+    if longest and longest > task_rows // 4:
+        first = sizes.where(F.col("n") > task_rows // 4).orderBy(F.desc("n"), "id").limit(MOST_LONG_IDS).collect()
+        kind = vectors.schema["id"].dataType.simpleString()
+        rows = [(row["id"], hashed + i) for i, row in enumerate(first)]
+        long_ids = vectors.sparkSession.createDataFrame(rows, f"id {kind}, own_tile int")
+    layout = Layout(hashed, long_ids, [])
+    layout.chunks = [1] * (hashed + (len(rows) if long_ids is not None else 0))
+    for row in layout.place(vectors).groupBy("tile").count().collect():
+        layout.chunks[row["tile"]] = max(1, -(-2 * row["count"] // task_rows))
+    return layout
+
+
+def _tiled(vectors: DataFrame, layout: Layout) -> DataFrame:
     """Send every row to the tile pairs (a <= b) where its feature can meet another row.
 
     A pair is cut by feature into as many chunks as its fuller tile asks for.
     """
-    n_tiles = len(chunks)
-    tile = F.pmod(F.xxhash64("id"), F.lit(n_tiles)).cast("int")
-    placed = vectors.select("id", "feature", "weight", tile.alias("tile"))
+    n_tiles = len(layout.chunks)
+    placed = layout.place(vectors).select("id", "feature", "weight", "tile")
     if n_tiles <= FEW_TILES:
         sent = placed.withColumn("partner", F.explode(F.sequence(F.lit(0), F.lit(n_tiles - 1))))
     else:
         met = placed.groupBy("feature").agg(F.collect_set("tile").alias("tiles"))
         sent = placed.join(met, "feature").withColumn("partner", F.explode("tiles"))
-    per_tile = F.lit(chunks)
+    per_tile = F.lit(layout.chunks)
     n_chunks = F.greatest(per_tile[F.col("tile")], per_tile[F.col("partner")])
     return sent.select(
         F.least("tile", "partner").alias("a"), F.greatest("tile", "partner").alias("b"),
@@ -199,8 +224,8 @@ def pair_products(vectors: DataFrame, tile_ids: int = TILE_IDS, task_rows: int =
     For few ids: the result has a row per pair. ``vectors`` is read several times:
     hand over a materialised table with unique (id, feature).
     """
-    chunks = _layout(vectors, tile_ids, task_rows)
-    return _products(_tiled(vectors, chunks), max(chunks) > 1)
+    layout = _layout(vectors, tile_ids, task_rows)
+    return _products(_tiled(vectors, layout), max(layout.chunks) > 1)
 
 
 def top_similar(vectors: DataFrame, k: int, tile_ids: int = TILE_IDS, task_rows: int = TASK_ROWS) -> DataFrame:
@@ -211,8 +236,8 @@ def top_similar(vectors: DataFrame, k: int, tile_ids: int = TILE_IDS, task_rows:
     first. ``vectors`` is read several times: hand over a materialised table with
     unique (id, feature).
     """
-    chunks = _layout(vectors, tile_ids, task_rows)
-    tiled = _tiled(unit_rows(vectors), chunks)
+    layout = _layout(vectors, tile_ids, task_rows)
+    tiled = _tiled(unit_rows(vectors), layout)
     kind = vectors.schema["id"].dataType
     out = T.StructType([
         T.StructField("id", kind), T.StructField("neighbor", kind), T.StructField("sim", T.DoubleType())
@@ -225,7 +250,7 @@ def top_similar(vectors: DataFrame, k: int, tile_ids: int = TILE_IDS, task_rows:
         return found if itself else pd.concat([found, _best(columns, rows, sims.T, k, False)])
 
     pairs = tiled.where("chunks = 1").groupBy("a", "b", "chunk").applyInPandas(neighbors, out)
-    if max(chunks) > 1:
+    if max(layout.chunks) > 1:
         sims = (
             _products(tiled.where("chunks > 1"), True)
             .where(F.col("left") != F.col("right"))

@@ -25,6 +25,7 @@ def corpus_weights(docs: DataFrame, max_features: int | None = None) -> DataFram
     terms = vocabulary(counts, max_features).select("token", "n_docs")
     if max_features is not None:
         terms = F.broadcast(terms)  # at most max_features rows
+        counts = term_counts(docs, only=terms)
     corpus = docs.agg(F.count("*")).scalar()
     raw = counts.join(terms, "token").select(
         "id", "token", (F.col("tf") * smooth_idf(corpus, F.col("n_docs"))).alias("raw")
@@ -43,7 +44,7 @@ def scoped_scores(matches: DataFrame, counts: DataFrame) -> DataFrame:
     freq = terms.groupBy("qid", "token").agg(F.count("*").alias("n_docs"))
     raw = F.col("tf") * smooth_idf(F.col("n_scope"), F.col("n_docs"))
     return (
-        terms.join(freq.join(scope, "qid"), ["qid", "token"])
+        terms.join(freq.join(scope, "qid").hint("shuffle_hash"), ["qid", "token"])
         .withColumn("raw", raw)
         .groupBy("qid", "id")
         .agg((F.sum("raw") / F.sqrt(F.sum(F.col("raw") * F.col("raw")))).alias("score"))
