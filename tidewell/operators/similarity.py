@@ -22,12 +22,12 @@ from tidewell.operators.postings import top_rows
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SIM_DIGITS = 6
-TILE_IDS = 1024
+TILE_IDS = 2048
 MIN_TILE_IDS = 256
 SPREAD_TILES = 8
 FEW_TILES = 16
 MOST_LONG_IDS = 1000
-TASK_ROWS = 500_000
+TASK_ROWS = 1_000_000
 SLICE_PRODUCTS = 4_000_000
 DENSE_FEATURES = 512
 
