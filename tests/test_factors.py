@@ -92,6 +92,13 @@ def test_recommendations(spark, dense, known, movies, model, predictions):
     assert [r["movieId"] - 10 for r in recs.collect()] == want
 
 
+def test_whole_prediction_rows(spark, model, predictions):
+    rows = latent.predict_users(model, [100, 130, 5]).collect()
+    got = {(r["userId"] - 100, r["movieId"] - 10): r["prediction"] for r in rows}
+    assert set(got) == {(u, i) for u in (0, 30) for i in range(35)}
+    assert all(abs(p - predictions[at]) < 1e-6 for at, p in got.items())
+
+
 def test_unknown_user_gets_no_predictions(spark, model):
     assert latent.predict_user(model, 5).isEmpty()
 

@@ -14,9 +14,18 @@ def con():
     return connect(SMALL)
 
 
+SQL_TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 @pytest.mark.parametrize("name", registry.oracle_sql())
 def test_query_equals_sql(spark, con, name):
-    assert difference(registry.queries()[name](spark, SMALL), con, registry.oracle_sql()[name]) is None
+    df, sql = registry.queries()[name](spark, SMALL), registry.oracle_sql()[name]
+    types = {row[0]: row[1] for row in con.execute("DESCRIBE " + sql).fetchall()}
+    assert {column: SQL_TYPES[kind] for column, kind in df.dtypes} == types
+    assert difference(df, con, sql) is None
 
 
 @pytest.mark.parametrize("name", sorted(set(registry.queries()) - set(registry.oracle_sql())))

@@ -37,7 +37,7 @@ VECTORS_SQL = """vectors AS (SELECT {item} AS id, "userId" AS feature, avg(ratin
 norms AS (SELECT id, sqrt(sum(w * w)) AS norm FROM vectors GROUP BY ALL)"""
 
 NEIGHBORS_SQL = """SELECT * FROM (
-    SELECT one AS id, two AS neighbor, sim, row_number() OVER (PARTITION BY one ORDER BY sim DESC, two) AS rank
+    SELECT one AS id, two AS neighbor, sim, (row_number() OVER (PARTITION BY one ORDER BY sim DESC, two))::INT AS rank
     FROM (SELECT a.id AS one, b.id AS two, round(sum(a.w * b.w) / (any_value(x.norm) * any_value(y.norm)), 6) AS sim
           FROM vectors a JOIN vectors b USING (feature) JOIN norms x ON x.id = a.id JOIN norms y ON y.id = b.id
           WHERE a.id <> b.id GROUP BY a.id, b.id) WHERE sim > 0) WHERE rank <= {k}"""

@@ -76,7 +76,7 @@ QUERIES = {
                  FROM dots JOIN norms x ON one = x.id JOIN norms y ON two = y.id),
         items AS (SELECT p_partkey AS id, p_type || ' ' || p_brand AS text FROM part),
         ranked AS (SELECT l.id, r.id AS neighbor, sim,
-                   row_number() OVER (PARTITION BY l.id ORDER BY sim DESC, r.id) AS rank
+                   (row_number() OVER (PARTITION BY l.id ORDER BY sim DESC, r.id))::INT AS rank
                    FROM items l JOIN sims ON l.text = one JOIN items r ON r.text = two WHERE l.id <> r.id AND sim > 0)
         SELECT * FROM ranked WHERE rank <= 5""",
     ),

@@ -86,7 +86,7 @@ QUERIES = {
         embedding_neighbors,
         f"""WITH {UNITS_SQL}, sims AS (SELECT a.vec_id AS id, b.vec_id AS neighbor,
             round(list_dot_product(a.v, b.v), 6) AS sim FROM units a JOIN units b ON a.vec_id <> b.vec_id),
-        ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY sim DESC, neighbor) AS rank
+        ranked AS (SELECT *, (row_number() OVER (PARTITION BY id ORDER BY sim DESC, neighbor))::INT AS rank
                    FROM sims WHERE sim > 0)
         SELECT * FROM ranked WHERE rank <= 5""",
     ),

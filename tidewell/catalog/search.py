@@ -68,7 +68,7 @@ CORPUS_SQL = f"""{WEIGHTS_SQL},
 scores AS (SELECT qid, id, round(sum(coalesce(weight, 0) * times), 6) AS score
            FROM matched JOIN qt USING (qid) LEFT JOIN weights USING (id, token) GROUP BY ALL)"""
 
-RANK_SQL = """ranked AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM scores),
+RANK_SQL = """ranked AS (SELECT *, (row_number() OVER (PARTITION BY qid ORDER BY score DESC, id))::INT AS rank FROM scores),
 best AS (SELECT qid, rank, id AS pid, name, score FROM ranked JOIN docs USING (id) WHERE rank <= 20)"""
 
 

@@ -85,19 +85,24 @@ def predict_pairs(model: RatingModel, pairs: DataFrame) -> DataFrame:
     )
 
 
+def predict_users(model: RatingModel, user_ids: list) -> DataFrame:
+    """(userId, movieId, prediction) of the listed users for every rated movie.
+
+    The listed users' profiles are one small value that every item row meets; users
+    and items are not joined. Unknown users give no rows.
+    """
+    wanted = model.users.where(F.col("user").isin(list(user_ids)))
+    profiles = wanted.agg(F.collect_list(F.struct("user", "profile", "mean_rating"))).scalar()
+    return model.items.withColumn("u", F.explode(profiles)).select(
+        F.col("u.user").alias("userId"),
+        F.col("item").alias("movieId"),
+        fac.predicted(F.col("u.profile"), F.col("factor"), F.col("u.mean_rating")).alias("prediction"),
+    )
+
+
 def predict_user(model: RatingModel, user_id) -> DataFrame:
     """(movieId, prediction) of one user for every rated movie."""
-    user = model.users.where(F.col("user") == F.lit(user_id))
-    profile = user.select(F.first("profile")).scalar()
-    mean = user.select(F.first("mean_rating")).scalar()
-    return (
-        model.items.withColumns({"profile": profile, "mean_rating": mean})
-        .where(F.col("profile").isNotNull())
-        .select(
-            F.col("item").alias("movieId"),
-            fac.predicted(F.col("profile"), F.col("factor"), F.col("mean_rating")).alias("prediction"),
-        )
-    )
+    return predict_users(model, [user_id]).drop("userId")
 
 
 def user_history(ratings: DataFrame, movies: DataFrame, user_id) -> DataFrame:
