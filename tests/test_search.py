@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewell.operators import postings as P, tfidf
-from tidewell.plans.search import open_store, search
+from tidewell.plans.search import open_store, open_weights, search
 
 PRODUCTS = [
     (153709120, "갤럭시 중고폰"),
@@ -104,3 +104,7 @@ def test_store_is_built_once(spark, tmp_path, products):
     data, index = open_store(spark, str(tmp_path / "gone"), store)
     assert before == sorted(p.name for p in (tmp_path / "store" / "index").iterdir())
     assert ask(spark, data, "갤럭시 중고폰", index=index)[0] == ("0", 153710656, 2.208064)
+    weights = open_weights(spark, data, store)
+    assert weights.count() == 9 and (tmp_path / "store" / "weights" / "_SUCCESS").exists()
+    found = ask(spark, data, "갤럭시 중고폰", mode="corpus", index=index, weights=weights)
+    assert found == [("0", 153709120, 1.414214), ("0", 153710656, 0.746044)]

@@ -9,7 +9,7 @@ from tidewell.functions.scoring import after_tax
 from tidewell.functions.times import epoch_date
 from tidewell.operators.latest import upsert_latest
 from tidewell.plans import prizes, warehouse
-from tidewell.session import scratch_dir
+from tidewell.session import discard, materialize, scratch_dir
 from tidewell.sinks import reports, tables
 from tidewell.sources import files
 
@@ -51,6 +51,8 @@ def test_quoted_fields(spark, tmp_path):
     path = write(tmp_path / "m.csv", 'movieId,title,genres\n1,"Say ""hi"", you",A|B\n2,"two\nlines",C\n')
     rows = files.read_delimited(spark, path, schemas.MOVIE, multiline=True).collect()
     assert [r["title"] for r in rows] == ['Say "hi", you', "two\nlines"]
+    inferred = files.read_delimited(spark, path, None, multiline=True)
+    assert [kind for _, kind in inferred.dtypes] == ["int", "string", "string"]
 
 
 def test_number_series(spark):
@@ -171,5 +173,16 @@ def test_reports(spark):
     assert [r[0] for r in reports.json_records(df, ["x", "y"]).collect()] == ['{"x":1,"y":"a"}', '{"x":null,"y":"b"}']
 
 
+def test_discard_deletes_own_tables_only(spark, tmp_path):
+    own = materialize(spark.range(3), "gone")
+    discard(own)
+    with pytest.raises(Exception):
+        own.count()
+    spark.range(3).write.parquet(str(tmp_path / "t"))
+    other = spark.read.parquet(str(tmp_path / "t"))
+    discard(other)
+    assert other.count() == 3
+
+
 def test_scratch_folder_is_the_sessions(spark):
     assert scratch_dir(spark) == spark.conf.get("spark.checkpoint.dir")

@@ -136,7 +136,8 @@ def search_from_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Products land as tab-separated text, the store is built, the batch is answered from it."""
     raw = land(products(spark, sf_dir), "products-tsv", "csv", sep="\t", header=True)
     data, index = plan.open_store(spark, raw, raw + "-store")
-    return plan.search(data, name_queries(spark, sf_dir), "corpus", index=index)
+    weights = plan.open_weights(spark, data, raw + "-store")
+    return plan.search(data, name_queries(spark, sf_dir), "corpus", index=index, weights=weights)
 
 
 def result_json(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,13 +19,18 @@ def vocabulary(counts: DataFrame, max_features: int | None = None) -> DataFrame:
     return terms.orderBy(F.desc("n"), "token").limit(max_features)
 
 
-def corpus_weights(docs: DataFrame, max_features: int | None = None) -> DataFrame:
-    """(id, token, weight): unit-length rows, idf over the whole corpus."""
-    counts = term_counts(docs)
-    terms = vocabulary(counts, max_features).select("token", "n_docs")
-    if max_features is not None:
+def corpus_weights(docs: DataFrame, max_features: int | None = None, of: DataFrame | None = None) -> DataFrame:
+    """(id, token, weight): unit-length rows, idf over the whole corpus.
+
+    ``of`` (id) names the documents whose rows are wanted, by default all.
+    """
+    terms = vocabulary(term_counts(docs), max_features).select("token", "n_docs")
+    wanted = docs if of is None else docs.join(of, "id", "left_semi")
+    if max_features is None:
+        counts = term_counts(wanted)
+    else:
         terms = F.broadcast(terms)  # at most max_features rows
-        counts = term_counts(docs, only=terms)
+        counts = term_counts(wanted, only=terms)
     corpus = docs.agg(F.count("*")).scalar()
     raw = counts.join(terms, "token").select(
         "id", "token", (F.col("tf") * smooth_idf(corpus, F.col("n_docs"))).alias("raw")

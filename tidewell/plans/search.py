@@ -30,12 +30,21 @@ def open_store(spark: SparkSession, raw_path: str, store: str) -> tuple[DataFram
     return spark.read.parquet(data), spark.read.parquet(index)
 
 
+def open_weights(spark: SparkSession, products: DataFrame, store: str, max_features: int = 100) -> DataFrame:
+    """Term weights over all products below ``store``, built on first use."""
+    path = f"{store}/weights"
+    weights = tfidf.corpus_weights(products, max_features)
+    build_if_missing(spark, path, lambda: weights.write.mode("overwrite").parquet(path))
+    return spark.read.parquet(path)
+
+
 def search(
     products: DataFrame,
     queries: DataFrame,
     mode: str = "candidate",
     k: int = 20,
     index: DataFrame | None = None,
+    weights: DataFrame | None = None,
     max_features: int = 100,
     tokenizer=tokenize,
 ) -> DataFrame:
@@ -44,8 +53,8 @@ def search(
     ``candidate`` weighs terms within each query's own matches and sums all
     terms of a document; ``corpus`` weighs over all products, keeps the
     ``max_features`` most frequent terms and sums the query's terms only.
-    A query without matches gives no rows. With an ``index`` the match reads that,
-    else the products' own terms.
+    A query without matches gives no rows. Stored ``index`` and ``weights`` spare
+    the passes over the products' own terms.
     """
     if mode not in ("candidate", "corpus"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -56,12 +65,14 @@ def search(
     rows = postings.term_counts(products) if index is None else postings.posting_rows(index)
     wanted = postings.query_tokens(queries, tokenizer)
     matches = materialize(postings.conjunctive_match(rows, wanted), "matches")
+    ids = matches.select("id").distinct()
     if mode == "candidate":
-        found = products.join(matches.select("id").distinct(), "id", "left_semi")
-        counts = materialize(postings.term_counts(found), "matched-terms")
+        counts = materialize(postings.term_counts(products.join(ids, "id", "left_semi")), "matched-terms")
         scores = tfidf.scoped_scores(matches, counts)
     else:
-        scores = tfidf.query_scores(matches, tfidf.corpus_weights(products, max_features), wanted)
+        if weights is None:
+            weights = tfidf.corpus_weights(products, max_features, of=ids)
+        scores = tfidf.query_scores(matches, weights, wanted)
     scores = scores.withColumn("score", F.round("score", SCORE_DIGITS))
     best = postings.top_rows(scores, ["qid"], [F.desc("score"), F.col("id")], k)
     return best.join(products.select("id", "name"), "id").select(

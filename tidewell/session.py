@@ -63,3 +63,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a materialised table that nothing reads any more."""
+    spark = table.sparkSession
+    paths = {name.rsplit("/", 1)[0] for name in table.inputFiles()}
+    for path in paths:
+        if "/" + scratch_dir(spark).split(":", 1)[-1].strip("/") + "/" in path:
+            hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)

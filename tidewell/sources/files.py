@@ -6,17 +6,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def read_delimited(
-    spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", multiline: bool = False
+    spark: SparkSession, path: str, schema: T.StructType | None, sep: str = ",", multiline: bool = False
 ) -> DataFrame:
     """Delimited text with a header line and doubled quotes inside quoted fields.
 
+    Without a ``schema`` the types are inferred, which reads the files once more.
     ``multiline`` allows line breaks inside quotes, at the price of one task per file.
     """
-    return (
-        spark.read.schema(schema)
-        .options(header=True, sep=sep, quote='"', escape='"', multiLine=multiline)
-        .csv(path)
-    )
+    reader = spark.read.options(header=True, sep=sep, quote='"', escape='"', multiLine=multiline)
+    return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
 
 
 def read_headerless(spark: SparkSession, path: str, width: int | None = None) -> DataFrame:
