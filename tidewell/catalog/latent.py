@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewell.catalog.collaborative import TARGET, rated
+from tidewell.catalog.collaborative import TARGET, VECTORS_SQL, rated
 from tidewell.catalog.inputs import MOVIES_SQL, RATINGS_SQL, movies, ratings, table
 from tidewell.functions.scoring import standardize
-from tidewell.operators.similarity import array_vectors, top_similar
+from tidewell.operators.similarity import array_vectors, pair_products, top_similar
+from tidewell.plans.collaborative import rating_vectors
 from tidewell.plans import latent as plan
 from tidewell.session import materialize
 
@@ -32,6 +33,21 @@ def svd_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.predict_pairs(model, pairs).withColumn("prediction", F.round("prediction", 6))
 
 
+def title_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The item x item product matrix that the factors decompose."""
+    vectors = materialize(rating_vectors(rated(spark, sf_dir)), "title-vectors")
+    return pair_products(vectors).withColumn("product", F.round("product", 4))
+
+
+def svd_full_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles as items and all factors kept: the predictions are the mean ratings again."""
+    known = rated(spark, sf_dir).select("userId", F.col("title").alias("movieId"), "rating")
+    n_titles = known.select("movieId").distinct().count()
+    model = plan.fit_ratings(known, n_titles - 1, strict=False)
+    pairs = known.select("userId", "movieId").distinct()
+    return plan.predict_pairs(model, pairs).withColumn("prediction", F.round("prediction", 6))
+
+
 def svd_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = ratings(spark, sf_dir)
     model = plan.fit_ratings(known, strict=False)
@@ -67,6 +83,17 @@ QUERIES = {
     "latent_corner_block": (latent_corner, None),
     "svd_predictions": (svd_predictions, None),
     "svd_recommend": (svd_recommend, None),
+    "title_products": (
+        title_products,
+        f"""WITH {RATINGS_SQL}, {MOVIES_SQL}, {VECTORS_SQL.format(item="title")}
+        SELECT a.id AS left, b.id AS right, round(sum(a.w * b.w), 4) AS product
+        FROM vectors a JOIN vectors b USING (feature) WHERE a.id <= b.id GROUP BY a.id, b.id""",
+    ),
+    "svd_full_rank": (
+        svd_full_rank,
+        f"""WITH {RATINGS_SQL}, {MOVIES_SQL} SELECT "userId", title AS "movieId", round(avg(rating), 6) AS prediction
+        FROM ratings JOIN movies USING ("movieId") GROUP BY "userId", title""",
+    ),
     "user_history": (
         lambda s, d: plan.user_history(ratings(s, d), movies(s, d), USER),
         f"""WITH {RATINGS_SQL}, {MOVIES_SQL} SELECT * FROM ratings JOIN movies USING ("movieId")
