@@ -17,6 +17,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidewell.operators.postings import top_rows
+from tidewell.session import materialize
 
 # the block helpers travel with each task, so executors need no copy of the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -41,8 +42,12 @@ def unit_rows(vectors: DataFrame) -> DataFrame:
 
 
 def similar_to(vectors: DataFrame, target) -> DataFrame:
-    """(id, sim) of every row to row ``target``, itself and zeros included."""
-    wanted = vectors.where(F.col("id") == F.lit(target))
+    """(id, sim) of every row to row ``target``, itself and zeros included.
+
+    The target's row is stored first: by its true size the planner sends it to all
+    tasks, or shuffles if it is long.
+    """
+    wanted = materialize(vectors.where(F.col("id") == F.lit(target)), "target")
     length = wanted.agg(F.sqrt(F.sum(F.col("weight") * F.col("weight")))).scalar()
     product = F.coalesce(F.sum(F.col("weight") * F.col("other")), F.lit(0.0))
     own = F.sqrt(F.sum(F.col("weight") * F.col("weight")))

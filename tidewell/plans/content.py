@@ -16,7 +16,9 @@ DETAIL_COLUMNS = ["id", "genres", "vote_average", "vote_count", "popularity", "t
 def with_score(movies: DataFrame, share: float = 0.9) -> DataFrame:
     """Movies with at least the ``share`` quantile of votes, plus their weighted rating.
 
-    The mean rating in the formula is that of the kept movies.
+    The mean rating in the formula is that of the kept movies. The exact quantile
+    keeps one counter per distinct vote count, of which a total of N votes has at most
+    sqrt(2 N).
     """
     floor = movies.agg(F.percentile("vote_count", F.lit(share))).scalar()
     popular = movies.where(F.col("vote_count") >= floor)
@@ -74,5 +76,6 @@ def similar_movies(movies: DataFrame, text: Column, k: int) -> DataFrame:
     offers = top_rows(near.join(first, "neighbor"), ["id"], [F.desc("sim"), F.col("member")], k + 1).select(
         F.col("id").alias("group"), F.col("member").alias("neighbor"), "sim"
     )
+    offers = materialize(offers, "text-offers")
     pairs = members.join(offers, "group").where(F.col("id") != F.col("neighbor"))
     return top_rows(pairs, ["id"], [F.desc("sim"), F.col("neighbor")], k).select("id", "neighbor", "sim", "rank")

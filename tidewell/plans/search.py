@@ -74,7 +74,7 @@ def search(
             weights = tfidf.corpus_weights(products, max_features, of=ids)
         scores = tfidf.query_scores(matches, weights, wanted)
     scores = scores.withColumn("score", F.round("score", SCORE_DIGITS))
-    best = postings.top_rows(scores, ["qid"], [F.desc("score"), F.col("id")], k)
+    best = materialize(postings.top_rows(scores, ["qid"], [F.desc("score"), F.col("id")], k), "best")
     return best.join(products.select("id", "name"), "id").select(
         "qid", "rank", F.col("id").alias("pid"), "name", "score"
     )
