@@ -85,7 +85,9 @@ def test_index_segments_are_bounded_and_whole(spark):
     assert [i for r in rows for i in r["docu_list"]] == list(range(1000))
 
 
-def test_match_agrees_with_brute_force(spark):
+@pytest.mark.parametrize("few", [1000, 1])
+def test_match_agrees_with_brute_force(spark, monkeypatch, few):
+    monkeypatch.setattr(P, "FEW_TOKENS", few)
     names = [(i, f"w{i % 2} x{i % 3} y{i % 5} w{i % 2}") for i in range(60)]
     docs = P.with_tokens(spark.createDataFrame(names, "id long, name string"), "name")
     asked = {f"w{a} {x} y{c} zzz": {f"w{a}", x, f"y{c}"} for a in range(2) for x in ("x1", "x7") for c in range(5)}

@@ -8,6 +8,7 @@ from tidewell.functions.text import tokenize
 from tidewell.session import materialize
 
 SEGMENT_IDS = 4096
+FEW_TOKENS = 1000
 
 
 def with_tokens(docs: DataFrame, text: str, tokenizer=tokenize) -> DataFrame:
@@ -67,6 +68,18 @@ def query_tokens(queries: DataFrame, tokenizer=tokenize) -> DataFrame:
     )
 
 
+def _of_tokens(postings: DataFrame, tokens: DataFrame) -> DataFrame:
+    """The postings of the tokens asked for.
+
+    A short list becomes a filter, which reaches the scan: an index ordered by
+    token is then read only where they lie. Longer lists are joined.
+    """
+    few = [row["token"] for row in tokens.limit(FEW_TOKENS + 1).collect()]
+    if len(few) <= FEW_TOKENS:
+        return postings.where(F.col("token").isin(few))
+    return postings.join(tokens, "token", "left_semi")
+
+
 def conjunctive_match(postings: DataFrame, wanted: DataFrame) -> DataFrame:
     """(qid, id) of the documents that hold every known token of the query.
 
@@ -76,8 +89,7 @@ def conjunctive_match(postings: DataFrame, wanted: DataFrame) -> DataFrame:
     are read once and kept for the queried tokens only.
     """
     wanted = materialize(wanted, "query-tokens")
-    probe = wanted.select("token").distinct()
-    hits = materialize(postings.join(probe, "token", "left_semi").select("token", "id"), "query-postings")
+    hits = materialize(_of_tokens(postings, wanted.select("token").distinct()).select("token", "id"), "query-postings")
     sizes = hits.groupBy("token").agg(F.count("*").alias("n_docs"))
     per_query = Window.partitionBy("qid")
     known = (
