@@ -47,7 +47,7 @@ def title_factors(rated: DataFrame, k: int = RANK, **settings) -> fac.Factors:
     matrix = rated.groupBy(F.col("userId").alias("user"), F.col("title").alias("item")).agg(
         F.avg("rating").alias("rating")
     )
-    return fac.item_factors(matrix, k, **settings)
+    return fac.item_factors(materialize(matrix, "title-matrix"), k, **settings)
 
 
 @dataclass
@@ -67,8 +67,9 @@ def fit_ratings(ratings: DataFrame, k: int = RANK, strict: bool = True, **settin
         matrix = strict_matrix(ratings, "userId", "movieId")
     else:
         matrix = ratings.groupBy("userId", "movieId").agg(F.avg("rating").alias("rating"))
+    rating = F.col("rating").cast("double").alias("rating")
     matrix = materialize(
-        matrix.select(F.col("userId").alias("user"), F.col("movieId").alias("item"), "rating"), "rating-matrix"
+        matrix.select(F.col("userId").alias("user"), F.col("movieId").alias("item"), rating), "rating-matrix"
     )
     model = fac.item_factors(matrix, k, centred=True, **settings)
     means = zero_filled_means(matrix, "user", "item")
