@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.scoring import weighted_rating
 from tidewell.plans import content
+from tidewell.schemas import MOVIE_DETAIL
 
 
 def test_weighted_rating(spark):
@@ -19,13 +20,7 @@ def details(spark):
         (i, json.dumps([{"id": 1, "name": w} for w in kinds[i % 6].split()]), 5.0 + i % 4, 10 * i + 10, 1.0, f"m{i}", "[]", "")
         for i in range(40)
     ]
-    return spark.createDataFrame(rows, content_schema())
-
-
-def content_schema():
-    from tidewell.schemas import MOVIE_DETAIL
-
-    return MOVIE_DETAIL
+    return spark.createDataFrame(rows, MOVIE_DETAIL)
 
 
 def test_only_well_voted_movies_are_scored(spark, details):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewell.catalog.inputs import DETAILS_SQL, movie_details, movies, table
+from tidewell.catalog.inputs import DETAILS_SQL, movie_details, movies
 from tidewell.functions.text import nested_names
 from tidewell.plans import content as plan
 
