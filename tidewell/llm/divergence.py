@@ -165,7 +165,7 @@ c AS (SELECT r, doc_id, lang, text, regexp_extract_all(text, '[^\\x20\\x09-\\x0D
 chars AS (SELECT lang, sum(chars) AS chars, sum(len(words)) AS n, {", ".join(f'sum("{n}") AS "{n}"' for n in CLASSES)}
           FROM c GROUP BY lang),
 each AS (SELECT r, lang, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM c),
-top AS (SELECT lang, word, count(*) AS n FROM each WHERE length(word) <= {SHORT} GROUP BY ALL
+top AS (SELECT lang, word, count(*) AS n FROM each WHERE length(word) <= {SHORT} GROUP BY lang, word
         QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) <= {TOP_WORDS}),
 ref AS (SELECT lang, word, top.n / chars.n AS q FROM top JOIN chars USING (lang)),
 tri AS (SELECT r, pos, word || ' ' || lead(word) OVER o || ' ' || lead(word, 2) OVER o AS t FROM each WINDOW o AS (PARTITION BY r ORDER BY pos)),
