@@ -51,7 +51,7 @@ def whole(shares: Column) -> Column:
 def distance(shares: str, others: str) -> Column:
     """Jensen-Shannon distance of two columns of shares in the same order, rounded to 6 digits."""
     parts = F.zip_with(shares, others, lambda p, q: _half(p, q) + _half(q, p))
-    return F.round(F.sqrt(F.greatest(_total(parts) / 2, F.lit(0.0))), 6)
+    return F.when(F.col(shares).isNotNull(), F.round(F.sqrt(F.greatest(_total(parts) / 2, F.lit(0.0))), 6))
 
 
 def _counted(docs: DataFrame, key: str, text: str, lang: str) -> DataFrame:

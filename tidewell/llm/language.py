@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from tidewell.llm.arrays import FOLD, flat, free_name, per_slice
 
@@ -178,7 +178,7 @@ def predict(docs: DataFrame, network: Network | None, keep: list[str], text: str
 
         return work
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), f"`{names[0]}` string, `{names[1]}` double"])
+    schema = T.StructType([*kept, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
     return source.mapInArrow(per_slice(make, text), schema)
 
 
