@@ -33,7 +33,6 @@ from tidewell.session import discard, materialize
 SHINGLE = 5
 BANDS = 26
 ROWS = 5
-SALTS = 64
 _HASH_BITS = np.uint64(48)
 _LOW = np.uint64((1 << 48) - 1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -168,26 +167,77 @@ def _links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return overlaps(rows).where(F.col("shared") * 100 >= F.col("total") * percent).select("a", "b")
 
 
-def _hub_pairs(members: DataFrame) -> DataFrame:
-    """Every text of a bucket with the smallest of its salted part, the smallest of the parts with that of the bucket.
+def _shared_buckets(texts: DataFrame) -> DataFrame:
+    """(bucket, digest, n): the buckets that hold n > 1 texts, and who is in them."""
+    members = texts.select("digest", F.explode("bands").alias("bucket"))
+    sizes = materialize(members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "neardup-sizes")
+    shared = materialize(members.join(sizes, "bucket"), "neardup-shared")
+    discard(sizes)
+    return shared
 
-    A bucket of n texts gives fewer than n pairs, and no task sees more than a part of it.
+
+def _hub_pairs(shared: DataFrame) -> DataFrame:
+    """(a, b): every text of a bucket with its hub, the text that meets most others over all buckets (ties by digest).
+
+    Such a text has fewest edits of its own, so it is the one that most of its group is linked to. A bucket of n
+    texts gives n - 1 pairs, and most buckets of a group share their hub.
     """
-    parts = members.withColumn("salt", F.pmod(F.xxhash64("digest"), F.lit(SALTS)))
-    parts = parts.withColumn("hub", F.min("digest").over(W.partitionBy("bucket", "salt")))
-    within = parts.where("digest > hub").select("hub", "digest")
-    heads = parts.where("digest = hub").withColumn("head", F.min("digest").over(W.partitionBy("bucket")))
-    return within.union(heads.where("digest > head").select("head", "digest")).toDF("a", "b").distinct()
+    met = shared.groupBy("digest").agg(F.sum("n").alias("met"))
+    hubs = shared.join(met, "digest").groupBy("bucket").agg(F.max(F.struct("met", "digest"))["digest"].alias("hub"))
+    hubs = materialize(hubs, "neardup-hubs")
+    pairs = shared.join(hubs, "bucket").where("digest <> hub").select(F.col("hub").alias("a"), F.col("digest").alias("b"))
+    pairs = materialize(pairs.distinct(), "neardup-pairs")
+    discard(hubs)
+    return pairs
+
 
+def shingle_rows(texts: DataFrame) -> DataFrame:
+    """(digest, label, size, shingle, n) of every distinct shingle of rows (digest, label, text)."""
 
-def _mixed_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket whose texts are still in different classes and near enough in size."""
-    classes = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    mixed = members.join(classes.where("low < high").select("bucket"), "bucket", "left_semi")
-    a, b = (mixed.select("bucket", *(F.col(c).alias(f"{c}_{s}") for c in ("digest", "label", "size"))) for s in "ab")
-    near = (F.col("size_a") * 100 >= F.col("size_b") * percent) & (F.col("size_b") * 100 >= F.col("size_a") * percent)
-    other = (F.col("digest_a") < F.col("digest_b")) & (F.col("label_a") != F.col("label_b"))
-    return a.join(b, "bucket").where(other & near).select(F.col("digest_a").alias("a"), F.col("digest_b").alias("b")).distinct()
+    def make():
+        def work(batch, texts):
+            keys, counts, n_words = shingle_counts(*flat(texts))
+            owner = (keys >> _HASH_BITS).astype(np.int64)
+            at = pa.array(owner)
+            size = np.bincount(owner, counts, len(n_words)).astype(np.int64)
+            return pa.RecordBatch.from_arrays(
+                [batch.column("digest").take(at), batch.column("label").take(at), pa.array(size[owner]),
+                 pa.array((keys & _LOW).astype(np.int64)), pa.array(counts.astype(np.int64))],
+                ["digest", "label", "size", "shingle", "n"],
+            )
+
+        return work
+
+    schema = "digest binary, label binary, size long, shingle long, n long"
+    return texts.select("digest", "label", "text").mapInArrow(per_slice(make, "text"), schema)
+
+
+def _open_pairs(shingles: DataFrame, percent: int) -> DataFrame:
+    """(a, b): texts of different labels that may still be alike, by an exact prefix filter.
+
+    Texts of sizes x and y that are alike share at least x + y times percent / (100 + percent) shingles, so
+    with the rarest shingles first they share one before place x (y) less that number. An edited copy spends
+    that prefix on its own edits and so meets nobody. Per shingle, texts of the most frequent label are
+    met by the others only, never by each other.
+    """
+    rarity = shingles.groupBy("shingle").agg(F.count("*").alias("held")).where("held > 1")
+    common = shingles.join(materialize(rarity, "neardup-rarity"), "shingle")
+    order = W.partitionBy("digest").orderBy("held", "shingle")
+    before = F.coalesce(F.sum("n").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    own = F.col("size") - F.sum("n").over(W.partitionBy("digest"))  # the shingles of no other text come first
+    prefix = common.withColumn("place", before + own).where(F.col("place") * 100 <= F.col("size") * (100 - percent))
+    prefix = materialize(prefix.select("shingle", "digest", "label", "size", "place"), "neardup-prefixes")
+    each = prefix.groupBy("shingle", "label").agg(F.count("*").alias("k"))
+    ruling = each.groupBy("shingle").agg(F.max(F.struct("k", "label"))["label"].alias("ruling"), F.count("*").alias("labels"))
+    ruling = materialize(ruling.where("labels > 1").drop("labels"), "neardup-ruling")
+    named = prefix.join(ruling, "shingle")
+    a, b = (named.select("shingle", "ruling", *(F.col(c).alias(f"{c}_{s}") for c in ("digest", "label", "size", "place"))) for s in "ab")
+    a = materialize(a.where("label_a <> ruling").drop("ruling"), "neardup-minor")
+    both = F.col("size_a") + F.col("size_b")
+    early = [F.col(f"place_{s}") * (100 + percent) <= F.col(f"size_{s}") * (100 + percent) - both * percent for s in "ab"]
+    once = (F.col("label_b") == F.col("ruling")) | (F.col("digest_a") < F.col("digest_b"))
+    pairs = a.join(b, "shingle").where((F.col("label_a") != F.col("label_b")) & early[0] & early[1] & once)
+    return materialize(pairs.select(F.col("digest_a").alias("a"), F.col("digest_b").alias("b")).distinct(), "neardup-open")
 
 
 def near_duplicates(
@@ -196,44 +246,37 @@ def near_duplicates(
     """(key, digest, class_id, n_words) of every row of ``docs``; see the module for what a class is.
 
     Equal texts are folded first, so copies never meet. In each bucket every text is
-    compared with a hub, classes are formed, and only texts of one bucket that
-    are still in different classes are compared with each other: texts that share
+    compared with a hub and classes are formed. Texts of one bucket that are then still in
+    different classes are compared where an exact filter leaves it possible: texts that share
     a bucket end up linked, joined through others, or proven too different.
     """
     signed = materialize(signatures(docs, key, text, bands, rows), "neardup-signatures")
     texts = materialize(
-        signed.where("digest is not null").groupBy("digest").agg(
-            F.min("id").alias("id"), F.first("n_words").alias("n_words"), F.first("bands").alias("bands")
-        ),
+        signed.where("digest is not null").groupBy("digest").agg(F.min("id").alias("id"), F.first("bands").alias("bands")),
         "neardup-texts",
     )
-    pairs = materialize(_hub_pairs(texts.select("digest", F.explode("bands").alias("bucket"))), "neardup-pairs")
-    met = materialize(
-        texts.join(pairs.select("a").union(pairs.select("b")).toDF("digest").distinct(), "digest", "left_semi"),
-        "neardup-met",
-    )
+    shared = _shared_buckets(texts)
+    pairs = _hub_pairs(shared)
+    met = shared.select("digest").distinct().join(texts.select("digest", "id"), "digest")
     source = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     same = F.unhex(F.md5(F.col("text").cast("binary"))) == F.col("digest")  # rows may share an id, not a text
-    needed = materialize(
-        source.join(met.select("id", "digest"), "id").where(same).select("digest", "text").dropDuplicates(["digest"]),
-        "neardup-needed",
-    )
+    needed = source.join(materialize(met, "neardup-met"), "id").where(same).select("digest", "text")
+    needed = materialize(needed.dropDuplicates(["digest"]), "neardup-needed")
     links = materialize(_links(pairs, needed, percent), "neardup-links")
     labels = connected(links)
-    size = F.greatest(F.col("n_words") - (SHINGLE - 1), F.lit(1)).alias("size")
     label = F.coalesce("label", "digest").alias("label")
-    members = materialize(
-        met.join(labels, "digest", "left").select("digest", label, size, F.explode("bands").alias("bucket")),
-        "neardup-members",
-    )
-    rest = materialize(_mixed_pairs(members, percent), "neardup-rest")
-    more = materialize(_links(rest, needed, percent), "neardup-more")
+    labelled = materialize(shared.join(labels, "digest", "left").select("bucket", "digest", label), "neardup-labelled")
+    ends = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    mixed = labelled.join(ends.where("low < high"), "bucket", "left_semi").select("digest", "label").distinct()
+    shingles = materialize(shingle_rows(needed.join(materialize(mixed, "neardup-mixed"), "digest")), "neardup-shingles")
+    open_ = _open_pairs(shingles, percent)
+    more = materialize(_links(open_, needed, percent), "neardup-more")
     if not more.isEmpty():
         labels = connected(links.union(more))
-    labelled = texts.join(labels, "digest", "left").select("digest", "id", label)
-    names = labelled.groupBy("label").agg(F.min("id").alias("class_id"))
-    classes = materialize(labelled.join(names, "label").select("digest", "class_id"), "neardup-classes")
-    for table in (texts, pairs, met, needed, links, members, rest, more):
+    named = texts.join(labels, "digest", "left").select("digest", "id", label)
+    names = named.groupBy("label").agg(F.min("id").alias("class_id"))
+    classes = materialize(named.join(names, "label").select("digest", "class_id"), "neardup-classes")
+    for table in (texts, shared, pairs, needed, links, labelled, shingles, open_, more):
         discard(table)
     found = signed.join(classes, "digest").select("id", "digest", "class_id", "n_words")
     alone = signed.where("digest is null").select("id", "digest", F.lit(None).cast("long").alias("class_id"), "n_words")
