@@ -13,6 +13,7 @@ TABLES = (
 def connect(sf_dir):
     con = duckdb.connect()
     con.execute("SET TimeZone = 'UTC'")
+    con.execute("SET memory_limit = '6GB'")
     for name in TABLES:
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
     return con

@@ -36,11 +36,10 @@ def truth(m, k):
 
 
 @pytest.mark.parametrize("centred", [False, True])
-@pytest.mark.parametrize("direct_items", [2048, 0])
-def test_factors_equal_dense_svd(spark, dense, known, centred, direct_items):
+def test_factors_equal_dense_svd(spark, dense, known, centred):
     m = dense - dense.mean(1, keepdims=True) if centred else dense
     model = factors.item_factors(
-        known.toDF("user", "item", "rating"), K, centred, direct_items=direct_items, oversampling=5, tolerance=1e-9
+        known.toDF("user", "item", "rating"), K, centred, oversampling=5
     )
     sigma, v = truth(m, K)
     np.testing.assert_allclose(model.sigma, sigma, rtol=1e-9)
@@ -49,13 +48,40 @@ def test_factors_equal_dense_svd(spark, dense, known, centred, direct_items):
 
 
 def test_block_as_wide_as_the_items(spark, dense, known):
-    model = factors.item_factors(known.toDF("user", "item", "rating"), K, direct_items=0, oversampling=60)
+    model = factors.item_factors(known.toDF("user", "item", "rating"), K, oversampling=60)
     np.testing.assert_allclose(model.sigma, truth(dense, K)[0], rtol=1e-9)
 
 
-def test_unfinished_iteration_warns(spark, known):
-    with pytest.warns(RuntimeWarning, match="after 2 passes"):
-        factors.item_factors(known.toDF("user", "item", "rating"), K, direct_items=0, oversampling=2, max_passes=2)
+def test_unfinished_iteration_raises(spark, known):
+    with pytest.raises(factors.NotConverged, match="after 2 passes"):
+        factors.item_factors(known.toDF("user", "item", "rating"), K, oversampling=2, max_passes=2)
+
+
+def test_small_factors_converge_too(spark):
+    """Eigenvalues over six orders of magnitude: each vector is held to its own."""
+    rng = np.random.default_rng(4)
+    m = rng.standard_normal((50, 20)) * 0.4 ** np.arange(20)
+    rows = spark.createDataFrame(pd.DataFrame(
+        {"user": np.repeat(np.arange(50), 20), "item": np.tile(np.arange(20), 50), "rating": m.ravel()}
+    ))
+    model = factors.item_factors(rows, 8, oversampling=4)
+    sigma, _ = truth(m, 8)
+    np.testing.assert_allclose(model.sigma, sigma, rtol=1e-9)
+    got = np.array([r["factor"] for r in model.items.orderBy("item").collect()])
+    vectors = np.linalg.svd(m)[2][:8]
+    want = (vectors * np.sign(vectors[np.arange(8), np.abs(vectors).argmax(1)])[:, None]).T
+    np.testing.assert_allclose(got, want, atol=1e-7)
+
+
+def test_ratings_are_laid_out_once(spark, known):
+    """In a pass no rating is shuffled: the exchanges carry the block and the sums only."""
+    matrix = known.toDF("user", "item", "rating")
+    ratings = factors.Ratings(matrix)
+    block = matrix.select("item").distinct().select("item", F.array(F.lit(1.0)).alias("k"))
+    text = ratings.multiply(block, "k", 0, 1)._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in text.split("InMemoryRelation")[0].splitlines() if "Exchange hash" in line]
+    assert moved and not any("rating" in line for line in moved)
+    ratings.close()
 
 
 @pytest.mark.parametrize("k", [0, 35, 100])
@@ -93,7 +119,8 @@ def test_recommendations(spark, dense, known, movies, model, predictions):
 
 
 def test_whole_prediction_rows(spark, model, predictions):
-    rows = latent.predict_users(model, [100, 130, 5]).collect()
+    asked = spark.createDataFrame([(100,), (130,), (5,)], "userId long")
+    rows = latent.predict_users(model, asked).collect()
     got = {(r["userId"] - 100, r["movieId"] - 10): r["prediction"] for r in rows}
     assert set(got) == {(u, i) for u in (0, 30) for i in range(35)}
     assert all(abs(p - predictions[at]) < 1e-6 for at, p in got.items())
@@ -103,6 +130,24 @@ def test_unknown_user_gets_no_predictions(spark, model):
     assert latent.predict_user(model, 5).isEmpty()
 
 
+@pytest.mark.parametrize("tile", [2048, 7])
+def test_best_unseen_of_many_users(spark, dense, known, model, predictions, monkeypatch, tile):
+    monkeypatch.setattr(latent, "TILE", tile)
+    everyone = known.select("userId").distinct()
+    rows = latent.top_unseen(model, known, everyone, 4).collect()
+    for u in range(60):
+        unseen = [i for i in range(35) if dense[u, i] == 0]
+        want = sorted(unseen, key=lambda i: (-round(predictions[u, i], 6), i))[:4]
+        got = sorted((r["rank"], r["movieId"] - 10) for r in rows if r["userId"] == u + 100)
+        assert [i for _, i in got] == want
+
+
+def test_unknown_title_is_an_error(spark, known, movies):
+    fitted = latent.title_factors(collaborative.rated_movies(known, movies), K)
+    with pytest.raises(KeyError):
+        latent.correlated_items(fitted, "no such title")
+
+
 def test_repeated_pairs_are_refused(spark, known):
     with pytest.raises(Exception, match="repeated pair 100 "):
         latent.fit_ratings(known.unionByName(known.where("userId = 100")), K)

@@ -53,11 +53,3 @@ def test_rankings_are_cut_before_the_shuffle(spark):
 def test_tokenizer_runs_once_per_document(spark):
     docs = P.with_tokens(inputs.products(spark, SMALL), "name")
     assert plan(P.term_counts(docs)).count("regexp_extract_all") == 1
-
-
-def test_few_query_tokens_reach_the_index_scan(spark, tmp_path):
-    path = str(tmp_path / "index")
-    P.write_index(P.inverted_index(P.with_tokens(inputs.products(spark, SMALL), "name")), path)
-    asked = spark.createDataFrame([("ring",), ("bolt",)], "token string")
-    text = plan(P._of_tokens(P.posting_rows(spark.read.parquet(path)), asked))
-    assert re.search(r"PushedFilters: \[[^]]*In\(token, \[(ring,bolt|bolt,ring)\]\)", text)

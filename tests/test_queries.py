@@ -16,7 +16,7 @@ def con():
 
 SQL_TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
-    "timestamp_ntz": "TIMESTAMP",
+    "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
 }
 
 

@@ -56,7 +56,7 @@ def test_limits_and_arguments(spark, products):
 
 
 def test_weights(spark, products):
-    rows = tfidf.corpus_weights(P.with_tokens(products, "name"), 100).collect()
+    rows = tfidf.corpus_weights(P.term_counts(P.with_tokens(products, "name")), products.count(), 100).collect()
     got = {(r["id"], r["token"]): round(r["weight"], 6) for r in rows}
     assert got == {
         (153709120, "갤럭시"): 0.707107, (153709120, "중고폰"): 0.707107,
@@ -85,9 +85,7 @@ def test_index_segments_are_bounded_and_whole(spark):
     assert [i for r in rows for i in r["docu_list"]] == list(range(1000))
 
 
-@pytest.mark.parametrize("few", [1000, 1])
-def test_match_agrees_with_brute_force(spark, monkeypatch, few):
-    monkeypatch.setattr(P, "FEW_TOKENS", few)
+def test_match_agrees_with_brute_force(spark):
     names = [(i, f"w{i % 2} x{i % 3} y{i % 5} w{i % 2}") for i in range(60)]
     docs = P.with_tokens(spark.createDataFrame(names, "id long, name string"), "name")
     asked = {f"w{a} {x} y{c} zzz": {f"w{a}", x, f"y{c}"} for a in range(2) for x in ("x1", "x7") for c in range(5)}
@@ -98,6 +96,23 @@ def test_match_agrees_with_brute_force(spark, monkeypatch, few):
     assert found == {(q, i) for q, words in asked.items() for i, n in names if words & known <= set(n.split())}
 
 
+def test_segments_of_large_ids(spark):
+    big = 2**60 + 4095
+    docs = spark.createDataFrame([(big, "a"), (big + 1, "a"), (-1, "a")], "id long, name string")
+    rows = P.inverted_index(P.with_tokens(docs, "name")).collect()
+    assert {(r["segment"], tuple(r["docu_list"])) for r in rows} == {
+        (big // 4096, (big,)), (big // 4096 + 1, (big + 1,)), (-1, (-1,))
+    }
+
+
+def test_another_tokenizer(spark, products):
+    """Blank-separated words instead of the product tokens, in documents and queries alike."""
+    blanks = lambda column: F.split(F.lower(column), " ")
+    batch = spark.createDataFrame([("0", "갤럭시s10 중고폰"), ("1", "s10")], "qid string, query string")
+    rows = search(products, batch, tokenizer=blanks).collect()
+    assert [(r["qid"], r["pid"]) for r in rows] == [("0", 153710656)]
+
+
 def test_store_is_built_once(spark, tmp_path, products):
     raw, store = str(tmp_path / "raw"), str(tmp_path / "store")
     products.coalesce(1).write.csv(raw, sep="\t", header=True)

@@ -40,6 +40,30 @@ def test_lines_without_header(spark, tmp_path):
     assert files.read_lines(spark, write(tmp_path / "a.txt", "one\ntwo\n"), header=False).count() == 2
 
 
+def test_lines_keep_the_unit_separator(spark, tmp_path):
+    source = write(tmp_path / "a.csv", "name,gender\nAnn,F\x1fjunk,X\nBob,M\n")
+    lines = files.read_lines(spark, source)
+    assert {r["line"] for r in lines.collect()} == {"Ann,F\x1fjunk,X", "Bob,M"}
+    with pytest.raises(Exception, match="expected 2 fields"):
+        files.split_fields(lines, ["name", "gender"]).collect()
+
+
+def test_malformed_documents_fail(spark, tmp_path):
+    cut = write(tmp_path / "w.json", json.dumps(SAMPLE)[:-9])
+    for whole in (True, False):
+        with pytest.raises(Exception):
+            files.read_json(spark, cut, schemas.DAILY_FORECAST, whole_file=whole).collect()
+    draws = write(tmp_path / "d.json", '{"returnValue": "success", "drwNo": 1}\n{"returnValue": "succ')
+    with pytest.raises(Exception):
+        prizes.prize_series(files.read_json(spark, draws, schemas.DRAW)).collect()
+
+
+def test_a_bad_id_fails(spark, tmp_path):
+    path = write(tmp_path / "p.tsv", "id\tname\n1\ta\nx2\tb\n")
+    with pytest.raises(Exception):
+        files.read_delimited(spark, path, schemas.PRODUCT, sep="\t").collect()
+
+
 def test_headerless_csv(spark, tmp_path):
     path = write(tmp_path / "t.csv", "1,,test1\n2,21,h\n3,22,hello\n,23,hi\n")
     want = [("1", None, "test1"), ("2", "21", "h"), ("3", "22", "hello"), (None, "23", "hi")]
@@ -111,6 +135,38 @@ def test_forecast_refresh(spark, tmp_path):
     assert spark.table("weather.forecast").dtypes[0] == ("date", "date")
 
 
+@pytest.mark.parametrize("source", ["missing", "malformed"])
+def test_a_failing_forecast_leaves_the_tables(spark, tmp_path, source):
+    good = write(tmp_path / "w.json", json.dumps(SAMPLE))
+    target = str(tmp_path / "store")
+    warehouse.refresh_forecast(spark, good, "weather", f"kept_{source}")
+    warehouse.upsert_forecast(spark, good, target)
+    bad = str(tmp_path / "gone.json") if source == "missing" else write(tmp_path / "bad.json", '{"daily": [{"dt"')
+    with pytest.raises(Exception):
+        warehouse.refresh_forecast(spark, bad, "weather", f"kept_{source}")
+    with pytest.raises(Exception):
+        warehouse.upsert_forecast(spark, bad, target)
+    assert spark.table(f"weather.kept_{source}").count() == 1
+    assert warehouse.forecast_table(spark, target).count() == 1
+
+
+def test_upsert_touches_the_months_of_its_dates_only(spark, tmp_path):
+    def days(*stamps):
+        return {"daily": [{"dt": s, "temp": {"day": float(s % 97), "min": 0.0, "max": 1.0}} for s in stamps]}
+
+    target, day = tmp_path / "store", 86400
+    first = write(tmp_path / "a.json", json.dumps(days(0, 40 * day, 80 * day)))
+    warehouse.upsert_forecast(spark, first, str(target), "UTC")
+    before = {p.name: sorted(f.name for f in p.iterdir()) for p in target.glob("month=*")}
+    second = write(tmp_path / "b.json", json.dumps(days(40 * day + 5, 41 * day)))
+    warehouse.upsert_forecast(spark, second, str(target), "UTC")
+    after = {p.name: sorted(f.name for f in p.iterdir()) for p in target.glob("month=*")}
+    assert {m for m in before if before[m] != after[m]} == {"month=1970-02"}
+    rows = {r["date"].isoformat(): r["temp"] for r in warehouse.forecast_table(spark, str(target)).collect()}
+    assert rows == {"1970-01-01": 0.0, "1970-02-10": float((40 * day + 5) % 97), "1970-02-11": float(41 * day % 97),
+                    "1970-03-22": float(80 * day % 97)}
+
+
 def test_epoch_date_does_not_depend_on_the_session_zone(spark):
     late = 1631156400 + 10 * 3600  # 13:00 UTC is 22:00 in Seoul, 23:59 is the next day there
     df = spark.createDataFrame([(late,), (late + 3 * 3600,), (0,)], "s long")

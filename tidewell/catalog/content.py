@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidewell.catalog.inputs import DETAILS_SQL, movie_details, movies
 from tidewell.functions.text import nested_names
 from tidewell.plans import content as plan
+from tidewell.session import materialize
 
 TARGET = 17
 
@@ -39,6 +40,14 @@ def content_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.recommend(scored, TARGET).select("id", "title", "genres", "sim", "score")
 
 
+def recommend_by_title(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole chain with the vote filter on, for the first title that survives it; several products share a title."""
+    scored = plan.prepare(movie_details(spark, sf_dir)).withColumn("score", F.round("score", 6))
+    scored = materialize(scored, "scored")
+    title = scored.agg(F.min("title")).first()[0]
+    return plan.recommend_by_title(scored, title).select("id", "title", "genres", "sim", "score")
+
+
 GRAMS_SQL = """words AS (SELECT id, regexp_extract_all(lower(text), '\\b\\w\\w+\\b') AS w FROM texts),
 grams AS (SELECT id, unnest(list_concat(w,
     list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i+1]),
@@ -93,4 +102,19 @@ QUERIES = {
                  ORDER BY id <> {TARGET}, 4 DESC, id LIMIT 30)
         SELECT * FROM near WHERE id <> {TARGET} ORDER BY score DESC, id LIMIT 10""",
     ),
+    "content_by_title": (
+        recommend_by_title,
+        f"""WITH {DETAILS_SQL}, {SCORED_SQL.format(share=0.9)},
+        texts AS (SELECT id, genres AS text FROM scored), {GRAMS_SQL},
+        norms AS (SELECT id, sqrt(sum(n * n)) AS norm FROM counts GROUP BY ALL),
+        targets AS (SELECT id AS target FROM scored WHERE title = (SELECT min(title) FROM scored)),
+        dots AS (SELECT a.id AS target, b.id, sum(a.n * b.n) / (any_value(x.norm) * any_value(y.norm)) AS sim
+                 FROM counts a JOIN targets ON a.id = target JOIN counts b USING (ngram)
+                 JOIN norms x ON x.id = a.id JOIN norms y ON y.id = b.id GROUP BY a.id, b.id),
+        every AS (SELECT target, scored.id, round(coalesce(sim, 0), 6) AS sim
+                  FROM scored CROSS JOIN targets LEFT JOIN dots USING (target, id)),
+        near AS (SELECT * FROM every QUALIFY row_number() OVER (PARTITION BY target ORDER BY id <> target, sim DESC, id) <= 30),
+        best AS (SELECT id, max(sim) AS sim FROM near WHERE id NOT IN (SELECT target FROM targets) GROUP BY id)
+        SELECT id, title, genres, sim, score FROM best JOIN scored USING (id) ORDER BY score DESC, id LIMIT 10""",
+    ),
 }

@@ -8,6 +8,7 @@ from tidewell.catalog.inputs import land, products, texts, tokens_sql
 from tidewell.functions.text import tokenize
 from tidewell.operators import postings, tfidf
 from tidewell.plans import search as plan
+from tidewell.session import materialize
 from tidewell.sinks.reports import json_records
 
 TEXT_QUERIES = [
@@ -123,7 +124,8 @@ def search_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tfidf_weights(docs: DataFrame) -> DataFrame:
-    weights = tfidf.corpus_weights(postings.with_tokens(docs, "name"), 100)
+    counts = materialize(postings.term_counts(postings.with_tokens(docs, "name")), "terms")
+    weights = tfidf.corpus_weights(counts, docs.count(), 100)
     return weights.select("id", "token", F.round("weight", 6).alias("weight"))
 
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewell import schemas
-from tidewell.catalog.inputs import land, table
-from tidewell.operators.latest import upsert_latest
-from tidewell.plans import prizes, warehouse
+from tidewell.catalog.inputs import MOVIES_SQL, RATINGS_SQL, land, movies, ratings, table
+from tidewell.operators.latest import latest_rows, upsert_latest
+from tidewell.plans import collaborative, prizes, warehouse
 from tidewell.session import scratch_path
 from tidewell.sinks import reports, tables
 from tidewell.sources import files
@@ -28,14 +30,81 @@ def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A repeated append repeats its rows."""
+    """A repeated append repeats its rows; rows with blank lines between them, one malformed line set aside each time."""
     target = scratch_path(spark, "segments")
-    rows = files.split_fields(files.read_lines(spark, _segment_lines(spark, sf_dir)), ["name", "segment"], "reject")
+    customers = table(spark, sf_dir, "customer")
+    line = F.concat_ws(",", "c_name", "c_mktsegment")
+    bad = F.when(F.col("c_custkey") == 1, F.lit("no segment here")).otherwise("")
+    lines = customers.select(F.explode(F.array(line, bad)).alias("value"))
+    landed = files.read_lines(spark, land(lines, "segments-lines", "text"), header=False)
+    rows = files.split_fields(landed, ["name", "segment"], "reject")
     for _ in range(2):
-        tables.append(rows.drop("rejected"), target)
+        tables.append(rows, target)
     return spark.read.parquet(target)
 
 
+def csv_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A movie file as it is delivered: header, commas and doubled quotes inside quoted titles."""
+    title = F.concat(F.lit('The "'), "p_name", F.lit('", '), "p_brand")
+    delivered = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("movieId"), title.alias("title"),
+                                                    F.col("p_type").alias("genres"))
+    path = land(delivered, "movies-csv", "csv", header=True, quote='"', escape='"')
+    return files.read_delimited(spark, path, schemas.MOVIE)
+
+
+def ratings_without_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ratings file with its timestamp, joined with the movies and freed of it."""
+    delivered = ratings(spark, sf_dir).withColumn("timestamp", F.col("userId") * 1000)
+    landed = files.read_delimited(spark, land(delivered, "ratings-csv", "csv", header=True), schemas.RATING)
+    return collaborative.rated_movies(landed, movies(spark, sf_dir))
+
+
+def refresh_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landed two-field file replaces the rows of a named catalog table, twice; the table is read by its name."""
+    schema = f"tidewell_{uuid.uuid4().hex[:8]}"
+    for _ in range(2):
+        warehouse.load_name_gender(spark, _segment_lines(spark, sf_dir), schema, "name_gender")
+    return spark.table(f"{schema}.name_gender")
+
+
+def _forecast_document(rows: DataFrame) -> DataFrame:
+    """One document whose days are the times and values of a few events, as a single file holds it."""
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    temp = F.struct(F.col("value").alias("day"), (F.col("value") - 5).alias("min"), (F.col("value") + 5).alias("max"))
+    day = F.struct(F.timestamp_diff("SECOND", start, F.col("ts")).alias("dt"), temp.alias("temp"))
+    return rows.agg(F.sort_array(F.collect_list(day)).alias("daily"))  # one entry per calendar day
+
+
+def _daily_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last event of each day."""
+    return latest_rows(table(spark, sf_dir, "events").withColumn("day", F.to_date("ts")), ["day"],
+                       [F.desc("ts"), F.desc("event_id")])
+
+
+def _rounded(forecasts: DataFrame) -> DataFrame:
+    return forecasts.select("date", *[F.round(c, 6).alias(c) for c in ("temp", "min_temp", "max_temp")],
+                            F.col("updated_date").isNotNull().alias("dated"))
+
+
+def forecast_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole-file forecast documents recreate a typed catalog table; the load time fills its default column."""
+    schema = f"tidewell_{uuid.uuid4().hex[:8]}"
+    landed = land(_forecast_document(_daily_events(spark, sf_dir)), "forecast-json", "json")
+    for _ in range(2):
+        warehouse.refresh_forecast(spark, landed, schema, "forecast", "UTC")
+    return _rounded(spark.table(f"{schema}.forecast"))
+
+
+def forecast_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecasts of all days, then new ones for every third day: the later load wins, other days stay."""
+    target = scratch_path(spark, "forecast-table")
+    days = _daily_events(spark, sf_dir)
+    later = days.where(F.dayofmonth("day") % 3 == 0).withColumn("value", F.col("value") + 100)
+    for rows in (days, later):
+        warehouse.upsert_forecast(spark, land(_forecast_document(rows), "forecast-json", "json"), target, "UTC")
+    return _rounded(warehouse.forecast_table(spark, target))
+
+
 def csv_headerless(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.nullif("o_orderstatus", F.lit("P")).alias("status"), "o_orderpriority"
@@ -113,6 +182,9 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tweets.extract(files.read_connector(spark, "parquet", store))
 
 
+DAYS_SQL = """days AS (SELECT ts::DATE AS date, value FROM events
+    QUALIFY row_number() OVER (PARTITION BY ts::DATE ORDER BY ts DESC, event_id DESC) = 1)"""
+
 TWEETS_SQL = """docs AS (SELECT event_id, event_id::VARCHAR AS created_at, event_type || ' ' || props AS text, event_type,
     CASE WHEN json_extract_string(props, '$.k')::INT < 50 THEN 'ko' ELSE 'en' END AS lang FROM events)"""
 
@@ -120,8 +192,28 @@ QUERIES = {
     "full_refresh_roundtrip": (full_refresh, "SELECT c_name AS name, c_mktsegment AS segment FROM customer"),
     "append_roundtrip": (
         append_twice,
-        """SELECT c_name AS name, c_mktsegment AS segment FROM customer
-        UNION ALL SELECT c_name, c_mktsegment FROM customer""",
+        """SELECT c_name AS name, c_mktsegment AS segment, NULL::VARCHAR AS rejected FROM customer, range(2)
+        UNION ALL SELECT NULL, NULL, 'no segment here' FROM customer, range(2) WHERE c_custkey = 1""",
+    ),
+    "csv_quoted": (
+        csv_quoted,
+        """SELECT p_partkey AS "movieId", 'The "' || p_name || '", ' || p_brand AS title, p_type AS genres FROM part""",
+    ),
+    "ratings_without_time": (
+        ratings_without_time,
+        f"""WITH {RATINGS_SQL}, {MOVIES_SQL} SELECT * FROM ratings JOIN movies USING ("movieId")""",
+    ),
+    "refresh_by_name": (refresh_by_name, "SELECT c_name AS name, c_mktsegment AS gender FROM customer"),
+    "forecast_table": (
+        forecast_table,
+        f"WITH {DAYS_SQL} SELECT date, round(value, 6) AS temp, round(value - 5, 6) AS min_temp, "
+        "round(value + 5, 6) AS max_temp, true AS dated FROM days",
+    ),
+    "forecast_upsert": (
+        forecast_upsert,
+        f"""WITH {DAYS_SQL}, later AS (SELECT date, value + CASE WHEN day(date) % 3 = 0 THEN 100 ELSE 0 END AS value FROM days)
+        SELECT date, round(value, 6) AS temp, round(value - 5, 6) AS min_temp, round(value + 5, 6) AS max_temp,
+        true AS dated FROM later""",
     ),
     "csv_headerless": (
         csv_headerless,
@@ -162,11 +254,10 @@ QUERIES = {
         f"WITH {TWEETS_SQL} SELECT created_at, text FROM docs WHERE event_type <> 'error'",
     ),
     "profile_table": (
-        lambda s, d: reports.profile(
-            table(s, d, "orders").select("o_orderkey", F.nullif("o_orderstatus", F.lit("P")).alias("status"), "o_totalprice")
-        ),
-        """SELECT unnest(['o_orderkey', 'status', 'o_totalprice']) AS column_name,
-        unnest(['bigint', 'string', 'double']) AS type, unnest([count(*), count(nullif(o_orderstatus, 'P')), count(*)])
-        AS non_null_count, count(*) AS row_count FROM orders""",
+        lambda s, d: reports.profile(table(s, d, "orders").withColumn("o_orderstatus", F.nullif("o_orderstatus", F.lit("P")))),
+        """SELECT unnest(['o_orderkey', 'o_custkey', 'o_orderstatus', 'o_totalprice', 'o_orderdate', 'o_orderpriority'])
+        AS column_name, unnest(['bigint', 'bigint', 'string', 'double', 'timestamp_ntz', 'string']) AS type,
+        unnest([count(o_orderkey), count(o_custkey), count(nullif(o_orderstatus, 'P')), count(o_totalprice),
+        count(o_orderdate), count(o_orderpriority)]) AS non_null_count, count(*) AS row_count FROM orders""",
     ),
 }

@@ -8,22 +8,19 @@ from tidewell.functions.text import tokenize
 from tidewell.session import materialize
 
 SEGMENT_IDS = 4096
-FEW_TOKENS = 1000
 
 
 def with_tokens(docs: DataFrame, text: str, tokenizer=tokenize) -> DataFrame:
     return docs.withColumn("token", tokenizer(F.col(text)))
 
 
-def term_counts(docs: DataFrame, only: DataFrame | None = None) -> DataFrame:
-    """(id, token ARRAY) -> (id, token, tf), of all tokens or of the few in ``only``.
+def term_counts(docs: DataFrame) -> DataFrame:
+    """(id, token ARRAY) -> (id, token, tf).
 
     The outer explode keeps the planner from testing the list for being empty
     in the scan, which would run the tokenizer a second time.
     """
     rows = docs.select("id", F.explode_outer("token").alias("token")).where(F.col("token").isNotNull())
-    if only is not None:
-        rows = rows.join(only.select("token"), "token", "left_semi")
     return rows.groupBy("id", "token").agg(F.count("*").alias("tf"))
 
 
@@ -31,15 +28,17 @@ def inverted_index(docs: DataFrame, segment_ids: int = SEGMENT_IDS) -> DataFrame
     """(id, token ARRAY) -> (token, segment, docu_list).
 
     ``docu_list`` holds one id per occurrence in id order. A token's list is cut
-    into id ranges of ``segment_ids``, so that a token found in every document
+    into ranges of ``segment_ids`` ids, so that a token found in every document
     becomes many rows spread over all tasks instead of one row of any length.
+    Ids are integers; a string id is cast, and one that is no integer fails.
     """
+    segment = F.expr(f"(cast(id AS BIGINT) - pmod(cast(id AS BIGINT), {segment_ids})) div {segment_ids}")
     repeated = F.transform(
         F.array_sort(F.collect_list(F.struct("id", "tf"))), lambda x: F.array_repeat(x["id"], x["tf"].cast("int"))
     )
     return (
         term_counts(docs)
-        .groupBy("token", F.floor(F.col("id") / segment_ids).alias("segment"))
+        .groupBy("token", segment.alias("segment"))
         .agg(F.flatten(repeated).alias("docu_list"))
     )
 
@@ -68,18 +67,6 @@ def query_tokens(queries: DataFrame, tokenizer=tokenize) -> DataFrame:
     )
 
 
-def _of_tokens(postings: DataFrame, tokens: DataFrame) -> DataFrame:
-    """The postings of the tokens asked for.
-
-    A short list becomes a filter, which reaches the scan: an index ordered by
-    token is then read only where they lie. Longer lists are joined.
-    """
-    few = [row["token"] for row in tokens.limit(FEW_TOKENS + 1).collect()]
-    if len(few) <= FEW_TOKENS:
-        return postings.where(F.col("token").isin(few))
-    return postings.join(tokens, "token", "left_semi")
-
-
 def conjunctive_match(postings: DataFrame, wanted: DataFrame) -> DataFrame:
     """(qid, id) of the documents that hold every known token of the query.
 
@@ -89,7 +76,9 @@ def conjunctive_match(postings: DataFrame, wanted: DataFrame) -> DataFrame:
     are read once and kept for the queried tokens only.
     """
     wanted = materialize(wanted, "query-tokens")
-    hits = materialize(_of_tokens(postings, wanted.select("token").distinct()).select("token", "id"), "query-postings")
+    hits = materialize(
+        postings.join(wanted.select("token").distinct(), "token", "left_semi").select("token", "id"), "query-postings"
+    )
     sizes = hits.groupBy("token").agg(F.count("*").alias("n_docs"))
     per_query = Window.partitionBy("qid")
     known = (

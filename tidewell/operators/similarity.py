@@ -60,6 +60,20 @@ def similar_to(vectors: DataFrame, target) -> DataFrame:
     return sims.select("id", F.round(F.coalesce("sim", F.lit(0.0)), SIM_DIGITS).alias("sim"))
 
 
+def similar_to_each(vectors: DataFrame, targets: DataFrame) -> DataFrame:
+    """(target, id, sim) of every row that shares a feature with one of the ``targets`` (target), itself included."""
+    lengths = vectors.groupBy("id").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("length"))
+    lengths = materialize(lengths.where("length > 0"), "lengths")
+    wanted = vectors.join(targets.select(F.col("target").alias("id")), "id", "left_semi")
+    wanted = materialize(wanted.select(F.col("id").alias("target"), "feature", F.col("weight").alias("other")), "targets")
+    products = vectors.join(wanted, "feature").groupBy("target", "id").agg(
+        F.sum(F.col("weight") * F.col("other")).alias("product")
+    )
+    own, other = lengths.toDF("id", "own"), lengths.toDF("target", "theirs")
+    sim = F.round(F.col("product") / (F.col("own") * F.col("theirs")), SIM_DIGITS).alias("sim")
+    return products.join(own, "id").join(other, "target").select("target", "id", sim)
+
+
 def _tile_count(n_ids: int, tile_ids: int) -> int:
     spread = min(SPREAD_TILES, -(-n_ids // MIN_TILE_IDS))
     return max(1, spread, -(-n_ids // tile_ids))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidewell.operators.postings import term_counts
+from tidewell.session import materialize
 
 
 def smooth_idf(n_docs: Column, doc_freq: Column) -> Column:
@@ -19,21 +19,18 @@ def vocabulary(counts: DataFrame, max_features: int | None = None) -> DataFrame:
     return terms.orderBy(F.desc("n"), "token").limit(max_features)
 
 
-def corpus_weights(docs: DataFrame, max_features: int | None = None, of: DataFrame | None = None) -> DataFrame:
+def corpus_weights(
+    counts: DataFrame, n_docs: int, max_features: int | None = None, of: DataFrame | None = None
+) -> DataFrame:
     """(id, token, weight): unit-length rows, idf over the whole corpus.
 
-    ``of`` (id) names the documents whose rows are wanted, by default all.
+    ``counts`` are the stored (id, token, tf) of a corpus of ``n_docs``. ``of`` (id) names the
+    documents whose rows are wanted, by default all.
     """
-    terms = vocabulary(term_counts(docs), max_features).select("token", "n_docs")
-    wanted = docs if of is None else docs.join(of, "id", "left_semi")
-    if max_features is None:
-        counts = term_counts(wanted)
-    else:
-        terms = F.broadcast(terms)  # at most max_features rows
-        counts = term_counts(wanted, only=terms)
-    corpus = docs.agg(F.count("*")).scalar()
-    raw = counts.join(terms, "token").select(
-        "id", "token", (F.col("tf") * smooth_idf(corpus, F.col("n_docs"))).alias("raw")
+    terms = materialize(vocabulary(counts, max_features).select("token", "n_docs"), "vocabulary")
+    wanted = counts if of is None else counts.join(of, "id", "left_semi")
+    raw = wanted.join(terms, "token").select(
+        "id", "token", (F.col("tf") * smooth_idf(F.lit(n_docs), F.col("n_docs"))).alias("raw")
     )
     length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("id")))
     return raw.select("id", "token", (F.col("raw") / length).alias("weight"))
@@ -42,14 +39,17 @@ def corpus_weights(docs: DataFrame, max_features: int | None = None, of: DataFra
 def scoped_scores(matches: DataFrame, counts: DataFrame) -> DataFrame:
     """(qid, id, score) where each query's matches are a corpus of their own.
 
-    The score of a document sums the unit-length weights of all its terms.
+    The score of a document sums the unit-length weights of all its terms. The counts per
+    (query, token) are stored first: the join with them then is between two plain
+    scans, of which the planner splits a token that all matches of a query share.
     """
     scope = matches.groupBy("qid").agg(F.count("*").alias("n_scope"))
-    terms = matches.join(counts, "id")
-    freq = terms.groupBy("qid", "token").agg(F.count("*").alias("n_docs"))
+    terms = materialize(matches.join(counts, "id"), "scoped-terms")
+    freq = terms.groupBy("qid", "token").agg(F.count("*").alias("n_docs")).join(scope, "qid")
+    freq = materialize(freq, "scoped-frequencies")
     raw = F.col("tf") * smooth_idf(F.col("n_scope"), F.col("n_docs"))
     return (
-        terms.join(freq.join(scope, "qid").hint("shuffle_hash"), ["qid", "token"])
+        terms.join(freq, ["qid", "token"])
         .withColumn("raw", raw)
         .groupBy("qid", "id")
         .agg((F.sum("raw") / F.sqrt(F.sum(F.col("raw") * F.col("raw")))).alias("score"))

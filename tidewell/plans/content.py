@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidewell.functions.scoring import weighted_rating
 from tidewell.functions.text import nested_names, word_ngrams
 from tidewell.operators.postings import top_rows
-from tidewell.operators.similarity import similar_to, top_similar
+from tidewell.operators.similarity import similar_to_each, top_similar
 from tidewell.session import materialize
 
 DETAIL_COLUMNS = ["id", "genres", "vote_average", "vote_count", "popularity", "title", "keywords", "overview"]
@@ -46,17 +46,35 @@ def recommend(movies: DataFrame, movie_id, text: str = "genres", top: int = 30,
     """The ``n`` best scored of the ``top`` movies most similar to one, itself left out.
 
     The movie itself takes one of the ``top`` places. Movies without any n-gram
-    have similarity zero.
+    have similarity zero. An unknown movie gives no rows.
     """
-    sims = similar_to(ngram_vectors(movies, F.col(text)), movie_id)
-    itself = F.col("id") == F.lit(movie_id)
-    nearest = (
-        movies.join(sims, "id", "left")
-        .withColumn("sim", F.coalesce("sim", F.lit(0.0)))
-        .orderBy(F.when(itself, 0).otherwise(1), F.desc("sim"), "id")
-        .limit(top)
-    )
-    return nearest.where(~itself).orderBy(F.desc("score"), "id").limit(n)
+    return _nearest(movies, movies.where(F.col("id") == F.lit(movie_id)), text, top, n)
+
+
+def recommend_by_title(movies: DataFrame, title: str, text: str = "genres", top: int = 30, n: int = 10) -> DataFrame:
+    """As ``recommend``, for all movies of a title: the ``top`` nearest of each are taken together.
+
+    A movie near to several of them counts with its best similarity. A title that no movie has gives no rows.
+    """
+    return _nearest(movies, movies.where(F.col("title") == F.lit(title)), text, top, n)
+
+
+def _nearest(movies: DataFrame, targets: DataFrame, text: str, top: int, n: int) -> DataFrame:
+    """The ``n`` best scored among the ``top`` nearest of every target, the targets left out."""
+    targets = materialize(targets.select(F.col("id").alias("target")), "targets")
+    vectors = materialize(ngram_vectors(movies, F.col(text)), "content-vectors")
+    sims = similar_to_each(vectors, targets)
+    # similarity zero fills the places that are left, smallest ids first: 2 * top ids are enough for any target
+    fillers = [row["id"] for row in movies.select("id").orderBy("id").limit(2 * top).collect()]
+    filled = targets.withColumn("id", F.explode(F.lit(fillers))) if fillers else sims.select("target", "id").limit(0)
+    none = filled.join(sims, ["target", "id"], "left_anti").withColumn("sim", F.lit(0.0))
+    itself = targets.select("target", F.col("target").alias("id"), F.lit(1.0).alias("sim"))
+    others = sims.unionByName(none).where(F.col("id") != F.col("target")).unionByName(itself)
+    first = F.when(F.col("id") == F.col("target"), 0).otherwise(1)
+    near = top_rows(others, ["target"], [first, F.desc("sim"), F.col("id")], top)
+    best = near.groupBy("id").agg(F.max("sim").alias("sim"))
+    best = best.join(targets.withColumnRenamed("target", "id"), "id", "left_anti")
+    return movies.join(best, "id").orderBy(F.desc("score"), "id").limit(n)
 
 
 def similar_movies(movies: DataFrame, text: Column, k: int) -> DataFrame:

@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewell.functions.scoring import dot, standardize
 from tidewell.operators import factors as fac
+from tidewell.operators.postings import top_rows
 from tidewell.operators.ratings import strict_matrix, zero_filled_means
 from tidewell.operators.similarity import array_vectors, pair_products
 from tidewell.session import materialize
 
 RANK = 12
 CORNER = 200
+TILE = 2048
+PREDICTION_DIGITS = 6
 
 
 def correlations_with(embeddings: DataFrame, key: str, vector: Column, target) -> DataFrame:
@@ -28,8 +33,10 @@ def correlated_items(
 ) -> DataFrame:
     """The first ``n`` titles, in title order, whose embedding correlates strongly with one's.
 
-    Depends on the sign of each singular vector, hence on the sign rule.
+    Depends on the sign of each singular vector, hence on the sign rule. An unknown title is an error.
     """
+    if model.items.where(F.col("item") == F.lit(title)).isEmpty():
+        raise KeyError(title)
     found = correlations_with(model.embeddings(), "item", F.col("vector"), title)
     return found.where(F.col("r") >= threshold).orderBy("item").limit(n).select(F.col("item").alias("title"), "r")
 
@@ -86,24 +93,87 @@ def predict_pairs(model: RatingModel, pairs: DataFrame) -> DataFrame:
     )
 
 
-def predict_users(model: RatingModel, user_ids: list) -> DataFrame:
-    """(userId, movieId, prediction) of the listed users for every rated movie.
+def predict_users(model: RatingModel, users: DataFrame) -> DataFrame:
+    """(userId, movieId, prediction) of the users of ``users`` (userId) for every rated movie.
 
-    The listed users' profiles are one small value that every item row meets; users
-    and items are not joined. Unknown users give no rows.
+    Users and movies are dealt into tiles, a task scores one tile pair as a matrix product. Unknown
+    users give no rows.
     """
-    wanted = model.users.where(F.col("user").isin(list(user_ids)))
-    profiles = wanted.agg(F.collect_list(F.struct("user", "profile", "mean_rating"))).scalar()
-    return model.items.withColumn("u", F.explode(profiles)).select(
-        F.col("u.user").alias("userId"),
-        F.col("item").alias("movieId"),
-        fac.predicted(F.col("u.profile"), F.col("factor"), F.col("u.mean_rating")).alias("prediction"),
+
+    def every(key, left, right):
+        users, _, items, scores = _tile_scores(left, right)
+        at, of = np.indices(scores.shape)
+        return pd.DataFrame({"userId": users[at.ravel()], "movieId": items[of.ravel()], "prediction": scores.ravel()})
+
+    kinds = {f.name: f.dataType.simpleString() for f in (*model.users.schema, *model.items.schema)}
+    return _tile_pairs(model, users, None).applyInPandas(
+        every, f"userId {kinds['user']}, movieId {kinds['item']}, prediction double"
     )
 
 
 def predict_user(model: RatingModel, user_id) -> DataFrame:
     """(movieId, prediction) of one user for every rated movie."""
-    return predict_users(model, [user_id]).drop("userId")
+    one = model.users.where(F.col("user") == F.lit(user_id)).select(F.col("user").alias("userId"))
+    return predict_users(model, one).drop("userId")
+
+
+def top_unseen(model: RatingModel, ratings: DataFrame, users: DataFrame, n: int) -> DataFrame:
+    """(userId, movieId, prediction, rank): the ``n`` best movies that each user of ``users`` (userId) has not rated.
+
+    A task keeps n movies per user of its tile pair, so what is shuffled does not grow with all pairs. The
+    ratings are dealt to the one tile pair they concern.
+    """
+
+    def best(key, left, right):
+        users, seen, items, scores = _tile_scores(left, right)
+        place = {item: i for i, item in enumerate(items)}
+        row = {user: i for i, user in enumerate(users)}
+        steps = np.rint(scores * 10**PREDICTION_DIGITS)
+        for user, item in zip(seen["user"], seen["item"]):
+            if user in row and item in place:
+                steps[row[user], place[item]] = -np.inf
+        kept = []
+        for i, user in enumerate(users):
+            order = np.lexsort((items, -steps[i]))[:n]
+            order = order[np.isfinite(steps[i][order])]
+            kept.append(pd.DataFrame({"userId": user, "movieId": items[order], "prediction": steps[i][order] / 10.0**PREDICTION_DIGITS}))
+        return pd.concat(kept) if kept else pd.DataFrame({"userId": [], "movieId": [], "prediction": []})
+
+    kinds = {f.name: f.dataType.simpleString() for f in (*model.users.schema, *model.items.schema)}
+    offers = _tile_pairs(model, users, ratings).applyInPandas(
+        best, f"userId {kinds['user']}, movieId {kinds['item']}, prediction double"
+    )
+    return top_rows(offers, ["userId"], [F.desc("prediction"), F.col("movieId")], n)
+
+
+def _tile_pairs(model: RatingModel, users: DataFrame, ratings: DataFrame | None):
+    """Grouped (profiles and ratings, factors) by tile pair."""
+    wanted = model.users.join(users.select(F.col("userId").alias("user")).distinct(), "user", "left_semi")
+
+    def tiles(column: str, n: int) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(n))
+
+    n_users, n_items = (max(1, -(-side.count() // TILE)) for side in (wanted, model.items))
+    all_of = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    kind = model.items.schema["item"].dataType
+    left = wanted.select(tiles("user", n_users).alias("u"), all_of(n_items).alias("i"), "user", "profile", "mean_rating",
+                         F.lit(None).cast(kind).alias("item"))
+    if ratings is not None:
+        known = ratings.select(F.col("userId").alias("user"), F.col("movieId").alias("item"))
+        left = left.unionByName(known.select(tiles("user", n_users).alias("u"), tiles("item", n_items).alias("i"), "user", "item"),
+                                allowMissingColumns=True)
+    right = model.items.select(all_of(n_users).alias("u"), tiles("item", n_items).alias("i"), "item", "factor")
+    return left.groupBy("u", "i").cogroup(right.groupBy("u", "i"))
+
+
+def _tile_scores(left: pd.DataFrame, right: pd.DataFrame):
+    """(users, ratings, items, predictions) of one tile pair."""
+    people, seen = left[left["mean_rating"].notna()], left[left["mean_rating"].isna()]
+    items = right["item"].to_numpy()
+    if not len(people) or not len(items):
+        return people["user"].to_numpy(), seen, items, np.zeros((len(people), len(items)))
+    scores = np.stack(people["profile"].to_numpy()) @ np.stack(right["factor"].to_numpy()).T
+    return people["user"].to_numpy(), seen, items, scores + people["mean_rating"].to_numpy()[:, None]
 
 
 def user_history(ratings: DataFrame, movies: DataFrame, user_id) -> DataFrame:
@@ -124,7 +194,7 @@ def recommend(
     best = (
         unseen_movies(ratings, movies, user_id)
         .join(predict_user(model, user_id), "movieId")
-        .withColumn("prediction", F.round("prediction", 6))
+        .withColumn("prediction", F.round("prediction", PREDICTION_DIGITS))
         .orderBy(F.desc("prediction"), "movieId")
         .limit(n)
     )

@@ -33,8 +33,12 @@ def open_store(spark: SparkSession, raw_path: str, store: str) -> tuple[DataFram
 def open_weights(spark: SparkSession, products: DataFrame, store: str, max_features: int = 100) -> DataFrame:
     """Term weights over all products below ``store``, built on first use."""
     path = f"{store}/weights"
-    weights = tfidf.corpus_weights(products, max_features)
-    build_if_missing(spark, path, lambda: weights.write.mode("overwrite").parquet(path))
+
+    def build():
+        counts = materialize(postings.term_counts(products), "store-terms")
+        tfidf.corpus_weights(counts, products.count(), max_features).write.mode("overwrite").parquet(path)
+
+    build_if_missing(spark, path, build)
     return spark.read.parquet(path)
 
 
@@ -53,8 +57,9 @@ def search(
     ``candidate`` weighs terms within each query's own matches and sums all
     terms of a document; ``corpus`` weighs over all products, keeps the
     ``max_features`` most frequent terms and sums the query's terms only.
-    A query without matches gives no rows. Stored ``index`` and ``weights`` spare
-    the passes over the products' own terms.
+    A query without matches gives no rows. The products' terms are counted once and stored,
+    and match, weights and scores read that table. A stored ``index`` answers the match instead,
+    and stored ``weights`` the scores.
     """
     if mode not in ("candidate", "corpus"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -62,16 +67,18 @@ def search(
         raise ValueError("queries need the columns qid and query")
     if "token" not in products.columns:
         products = postings.with_tokens(products, "name", tokenizer)
-    rows = postings.term_counts(products) if index is None else postings.posting_rows(index)
+    counts = postings.term_counts(products)
+    if index is None or (mode == "corpus" and weights is None):
+        counts = materialize(counts, "terms")
+    rows = counts if index is None else postings.posting_rows(index)
     wanted = postings.query_tokens(queries, tokenizer)
     matches = materialize(postings.conjunctive_match(rows, wanted), "matches")
     ids = matches.select("id").distinct()
     if mode == "candidate":
-        counts = materialize(postings.term_counts(products.join(ids, "id", "left_semi")), "matched-terms")
         scores = tfidf.scoped_scores(matches, counts)
     else:
         if weights is None:
-            weights = tfidf.corpus_weights(products, max_features, of=ids)
+            weights = tfidf.corpus_weights(counts, products.count(), max_features, of=ids)
         scores = tfidf.query_scores(matches, weights, wanted)
     scores = scores.withColumn("score", F.round("score", SCORE_DIGITS))
     best = materialize(postings.top_rows(scores, ["qid"], [F.desc("score"), F.col("id")], k), "best")

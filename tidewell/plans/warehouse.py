@@ -32,18 +32,20 @@ def read_forecast(spark: SparkSession, path: str, tz: str = "Asia/Seoul") -> Dat
 
 
 def refresh_forecast(spark: SparkSession, source: str, schema: str, table: str, tz: str = "Asia/Seoul") -> None:
-    """Create the typed forecast table anew and fill it."""
-    name = tables.create_table(spark, schema, table, schemas.FORECAST_TABLE)
+    """Create the typed forecast table anew and fill it; a failing source leaves the old table."""
     rows = tables.with_default_now(read_forecast(spark, source, tz), "updated_date")
-    rows.select(*schemas.FORECAST_TABLE.names).write.insertInto(name, overwrite=True)
+    tables.recreate(rows, schema, table, schemas.FORECAST_TABLE)
 
 
 def upsert_forecast(spark: SparkSession, source: str, target: str, tz: str = "Asia/Seoul") -> None:
-    """Merge new forecasts into the table at ``target``: latest row per date."""
-    tables.recover(spark, target)
+    """Merge new forecasts into the table at ``target``, stored by month: latest row per date."""
     incoming = tables.with_default_now(read_forecast(spark, source, tz), "updated_date")
-    if not tables.exists(spark, target):
-        existing = spark.createDataFrame([], schemas.FORECAST_TABLE)
-    else:
-        existing = spark.read.schema(schemas.FORECAST_TABLE).parquet(target)
-    tables.replace(upsert_latest(existing, incoming, ["date"], "updated_date"), target)
+    tables.merge_partitions(
+        incoming, target, F.date_format("date", "yyyy-MM"), "month",
+        lambda stored, fresh: upsert_latest(stored, fresh, ["date"], "updated_date"),
+    )
+
+
+def forecast_table(spark: SparkSession, target: str) -> DataFrame:
+    """The rows of a table that ``upsert_forecast`` keeps."""
+    return spark.read.schema(schemas.FORECAST_TABLE).parquet(target)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidewell.session import materialize
 
@@ -81,6 +81,40 @@ def create_table(spark: SparkSession, schema: str, table: str, columns: T.Struct
     return name
 
 
+def recreate(df: DataFrame, schema: str, table: str, columns: T.StructType) -> None:
+    """Drop a catalog table and create it typed, with the rows of ``df``.
+
+    A second table is created and filled first; only then does it take the name of the old one, so
+    whatever fails on the way leaves the old table as it was.
+    """
+    spark = df.sparkSession
+    name, fresh = f"{schema}.{table}", create_table(spark, schema, f"{table}_fresh", columns)
+    df.select(*columns.names).write.insertInto(fresh, overwrite=True)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+
+
+def merge_partitions(
+    incoming: DataFrame, path: str, part: Column, name: str, merge: Callable[[DataFrame, DataFrame], DataFrame]
+) -> None:
+    """Merge rows into a table stored by the partition column ``name`` = ``part`` of a row.
+
+    Only the partitions that ``incoming`` falls into are read and written again. The merged
+    rows are staged first and the partitions are exchanged when the write commits, so an
+    error on the way leaves the table as it was.
+    """
+    spark = incoming.sparkSession
+    incoming = materialize(incoming.withColumn(name, part.cast("string")), "merge-incoming")
+    if exists(spark, path):
+        schema = incoming.schema  # not inferred: names such as 2024-01 stay text
+        touched = incoming.select(name).distinct()
+        stored = spark.read.schema(schema).parquet(path).join(touched, name, "left_semi").select(*incoming.columns)
+    else:
+        stored = incoming.limit(0)
+    merged = materialize(merge(stored, incoming), "merge-staged")
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(name).parquet(path)
+
+
 def full_refresh(df: DataFrame, schema: str, table: str) -> None:
     """Replace all rows of a catalog table.
 

@@ -10,10 +10,11 @@ def read_delimited(
 ) -> DataFrame:
     """Delimited text with a header line and doubled quotes inside quoted fields.
 
-    Without a ``schema`` the types are inferred, which reads the files once more.
+    Without a ``schema`` the types are inferred, which reads the files once more. A value
+    that is not of its column's type fails the read.
     ``multiline`` allows line breaks inside quotes, at the price of one task per file.
     """
-    reader = spark.read.options(header=True, sep=sep, quote='"', escape='"', multiLine=multiline)
+    reader = spark.read.options(header=True, sep=sep, quote='"', escape='"', multiLine=multiline, mode="FAILFAST")
     return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
 
 
@@ -31,15 +32,15 @@ def read_headerless(spark: SparkSession, path: str, width: int | None = None) ->
 def read_lines(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
     """Text lines as ``line``; each file's first line is dropped if it is a header.
 
-    Blank lines are skipped. The unit separator never occurs in text files, so a
-    whole line is one field.
+    Blank lines are skipped. The reader splits at the unit separator; a line that
+    holds one is malformed to it and comes back whole through the second column.
     """
-    return (
-        spark.read.schema("line STRING")
-        .options(header=header, sep="\u001f", quote="")
+    rows = (
+        spark.read.schema("line STRING, whole STRING")
+        .options(header=header, sep="\u001f", quote="", columnNameOfCorruptRecord="whole", mode="PERMISSIVE")
         .csv(path)
-        .where(F.col("line") != "")
     )
+    return rows.select(F.coalesce("whole", "line").alias("line")).where(F.col("line") != "")
 
 
 def split_fields(lines: DataFrame, names: list[str], on_error: str = "fail") -> DataFrame:
@@ -62,8 +63,8 @@ def split_fields(lines: DataFrame, names: list[str], on_error: str = "fail") ->
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType, whole_file: bool = False) -> DataFrame:
-    """JSON documents, one per line or one per file, under a declared schema."""
-    return spark.read.schema(schema).option("multiLine", whole_file).json(path)
+    """JSON documents, one per line or one (or one array) per file, under a declared schema; a malformed one fails the read."""
+    return spark.read.schema(schema).options(multiLine=whole_file, mode="FAILFAST").json(path)
 
 
 def read_connector(spark: SparkSession, fmt: str = "parquet", path: str | None = None, **options) -> DataFrame:
@@ -72,16 +73,6 @@ def read_connector(spark: SparkSession, fmt: str = "parquet", path: str | None =
     return reader.load(path) if path else reader.load()
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash a scan over all cores by ``key`` if it has fewer splits than a few per core.
-
-    A file with one large row group is read by one task; work on long texts would
-    stay in that task. Large inputs have splits enough and are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < 3 * cores else df
-
-
 def number_series(spark: SparkSession, start: int, stop: int, factor: int = 5) -> DataFrame:
     """x from ``start`` to ``stop`` - 1 with y = factor * x."""
     return spark.range(start, stop).select(F.col("id").alias("x"), (F.col("id") * factor).alias("y"))
