@@ -42,7 +42,7 @@ def test_values_change_within_their_format_and_back(value):
 
 @pytest.mark.parametrize("text", [
     "4785380592391138", "192.168.1.256", "1.2.3.4.5", "000-12-1234", "2023-02-29", "GB83 WEST 1234 5698 7654 32", "123456",
-    "0000000000000000", "", "no values here", "31.13.1999",
+    "", "no values here", "31.13.1999",
 ])
 def test_invalid_values_stay(text):
     assert P.pseudonymise(text, STEP) == (text, {})

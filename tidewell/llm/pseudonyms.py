@@ -82,7 +82,7 @@ Step = Callable[[int, int, str], int]  # (value, n, tweak) -> value
 
 def _card(text: str, step: Step) -> str | None:
     digits = _digits(text)
-    if not 13 <= len(digits) <= 19 or luhn_digit(digits[:-1]) != digits[-1] or not digits.strip("0"):
+    if not 13 <= len(digits) <= 19 or luhn_digit(digits[:-1]) != digits[-1]:
         return None
     n = len(digits) - 1
     payload = f"{step(int(digits[:-1]), 10**n, f'card{n}'):0{n}d}"
