@@ -83,3 +83,15 @@ def test_block_product_paths_agree():
     right = left[left["id"] % 2 == 0]
     ids, others, product = S._multiply(left, right)
     np.testing.assert_allclose(product, (m @ m.T)[np.ix_(ids, others)], atol=1e-12)
+
+
+def test_dense_rows_write_their_best_only(spark, monkeypatch):
+    """However dense the rows, tiles are whole: no task writes a pair that is not among the k best of its tile pair."""
+    rng = np.random.default_rng(9)
+    dense = rng.random((120, 100)) + 0.1
+    vectors = frame(spark, dense)
+    layout = S._layout(vectors, S.TILE_IDS, 12_000)
+    assert set(layout.chunks) == {1} and layout.long_ids is None
+    monkeypatch.setattr(S, "_products", None)  # the way that writes out pairs is not taken
+    rows = S.top_similar(vectors, 3, task_rows=12_000).collect()
+    assert {(r["id"], r["neighbor"], r["sim"], r["rank"]) for r in rows} == best(cosine(dense), 3)

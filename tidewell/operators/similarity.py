@@ -169,13 +169,16 @@ class Layout:
 def _layout(vectors: DataFrame, tile_ids: int, task_rows: int) -> Layout:
     """Tiles and chunks such that a task holds about ``task_rows`` rows of two tiles.
 
+    The denser the rows, the fewer ids a tile has, so that tiles need not be cut and no pair is written that is
+    not among the best of its tile pair.
     An id with very many rows gets a tile of its own, cut into chunks by feature:
     adding up the chunks of one id's products is cheap. Should there be more long
     ids than that, their hashed tiles are cut in the same way.
     """
     sizes = vectors.groupBy("id").agg(F.count("*").alias("n"))
-    n_ids, longest = sizes.agg(F.count("*"), F.max("n")).first()
-    hashed, long_ids = _tile_count(n_ids, tile_ids), None
+    n_ids, longest, total = sizes.agg(F.count("*"), F.max("n"), F.sum("n")).first()
+    # dense rows get smaller tiles, half of what a tile may hold: then a task sees whole tile pairs and keeps k of them
+    hashed, long_ids = max(_tile_count(n_ids, tile_ids), -(-4 * (total or 0) // task_rows)), None
     if longest and longest > task_rows // 4:
         first = sizes.where(F.col("n") > task_rows // 4).orderBy(F.desc("n"), "id").limit(MOST_LONG_IDS).collect()
         kind = vectors.schema["id"].dataType.simpleString()
