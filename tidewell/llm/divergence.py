@@ -77,9 +77,9 @@ def reference(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFr
     tops = best.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "word", "n"))).alias("top"))
     return chars.join(tops, "lang", "left").select(
         F.col("lang").alias("ref_lang"),
-        F.array(*(F.col(c) / F.col("chars") for c in CLASSES)).alias("ref_classes"),
+        F.array(*(F.try_divide(c, "chars") for c in CLASSES)).alias("ref_classes"),
         F.transform("top", lambda x: x["word"]).alias("ref_words"),
-        F.transform("top", lambda x: x["n"] / F.col("n")).alias("ref_shares"),
+        F.transform("top", lambda x: F.try_divide(x["n"], F.col("n"))).alias("ref_shares"),
     )
 
 
@@ -126,11 +126,11 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     known = rows.join(reference(docs, text, lang), F.col("lang") == F.col("ref_lang"), "left")
     none = F.array().cast("array<string>")
     held = F.transform(
-        F.coalesce("ref_words", none), lambda w: (F.size("words") - F.size(F.array_remove("words", w))) / F.size("words")
+        F.coalesce("ref_words", none), lambda w: F.try_divide(F.size("words") - F.size(F.array_remove("words", w)), F.size("words"))
     )
     known = known.select(
         "id", "chars", "space", "symbol", "n_words", "n_repeat_words", "n_dup_lines",
-        F.array(*(F.col(c) / F.col("chars") for c in CLASSES)).alias("classes"), "ref_classes",
+        F.array(*(F.try_divide(c, "chars") for c in CLASSES)).alias("classes"), "ref_classes",
         F.when(F.col("n_words") >= WORD_GUARD, held).alias("shares"),
         F.coalesce("ref_shares", F.array().cast("array<double>")).alias("ref_shares"),
     )
