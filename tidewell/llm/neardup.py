@@ -163,7 +163,8 @@ def overlaps(pairs: DataFrame) -> DataFrame:
 
 def _links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs whose texts are at least ``percent`` alike."""
-    rows = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
+    left, right = texts.toDF("a", "text_a").hint("merge"), texts.toDF("b", "text_b").hint("merge")
+    rows = pairs.join(left, "a").join(right, "b")  # one plan at every size; a hub that many meet is split
     return overlaps(rows).where(F.col("shared") * 100 >= F.col("total") * percent).select("a", "b")
 
 
@@ -260,7 +261,7 @@ def near_duplicates(
     met = shared.select("digest").distinct().join(texts.select("digest", "id"), "digest")
     source = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     same = F.unhex(F.md5(F.col("text").cast("binary"))) == F.col("digest")  # rows may share an id, not a text
-    needed = source.join(materialize(met, "neardup-met"), "id").where(same).select("digest", "text")
+    needed = source.join(materialize(met, "neardup-met").hint("merge"), "id").where(same).select("digest", "text")
     needed = materialize(needed.dropDuplicates(["digest"]), "neardup-needed")
     links = materialize(_links(pairs, needed, percent), "neardup-links")
     labels = connected(links)
