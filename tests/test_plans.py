@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql.readwriter import DataFrameWriter
 
 import __spark_entry__ as registry
 from conftest import TESTDATA
@@ -18,20 +19,44 @@ PYTHON_FREE = [
 ]
 
 
+CORE = sorted(set(registry.queries()) - set(registry.TRAINING))
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", registry.queries())
-def test_no_query_crosses_tables(spark, name):
-    text = plan(registry.queries()[name](spark, SMALL))
-    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+@pytest.fixture
+def steps(monkeypatch):
+    """The plans of all tables written on the way."""
+    plans, write = [], DataFrameWriter.parquet
+
+    def recorded(self, *args, **settings):
+        plans.append(plan(self._df))
+        return write(self, *args, **settings)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", recorded)
+    return plans
+
+
+@pytest.mark.parametrize("name", CORE)
+def test_no_query_crosses_tables(spark, steps, name):
+    steps.append(plan(registry.queries()[name](spark, SMALL)))
+    for text in steps:
+        assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
 @pytest.mark.parametrize("name", PYTHON_FREE)
-def test_core_path_stays_on_the_jvm(spark, name):
-    text = plan(registry.queries()[name](spark, SMALL))
-    assert not re.search(r"Python|Pandas|Arrow(?!Eval)", text)
+def test_core_path_stays_on_the_jvm(spark, steps, name):
+    steps.append(plan(registry.queries()[name](spark, SMALL)))
+    for text in steps:
+        assert not re.search(r"Python|Pandas|Arrow(?!Eval)", text)
+
+
+@pytest.mark.parametrize("name", ["search_top20_candidate", "search_top20_corpus", "tfidf_weights"])
+def test_documents_are_tokenised_once_over_all_steps(spark, steps, name):
+    steps.append(plan(registry.queries()[name](spark, SMALL)))
+    assert sum(len(re.findall(r"regexp_extract_all\(lower\(p_name", text)) for text in steps) == 1
 
 
 def test_scan_reads_needed_columns_only(spark):
