@@ -20,6 +20,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from tidewell.session import materialize
+
 LEAST_WORDS = 50
 WORD_GUARD = 100
 TOP_WORDS = 16
@@ -123,7 +125,8 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
         "id", "lang", "words", "chars", *CLASSES, "n_words", "n_repeat_words",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
     )
-    known = rows.join(reference(docs, text, lang), F.col("lang") == F.col("ref_lang"), "left")
+    # stored first: by its true size, a row per language, the planner sends it to all tasks
+    known = rows.join(materialize(reference(docs, text, lang), "references"), F.col("lang") == F.col("ref_lang"), "left")
     none = F.array().cast("array<string>")
     held = F.transform(
         F.coalesce("ref_words", none), lambda w: F.try_divide(F.size("words") - F.size(F.array_remove("words", w)), F.size("words"))
