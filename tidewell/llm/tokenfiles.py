@@ -20,6 +20,7 @@ are ordered by text and stay separate documents.
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from functools import lru_cache
@@ -40,14 +41,14 @@ HEAD = np.dtype([("low", "<u4"), ("count", "<u2"), ("width", "u1"), ("exceptions
 def pack_block(ids: np.ndarray) -> bytes:
     """One block of up to BLOCK ids."""
     low = int(ids.min())
-    rest = (ids - low).astype(np.uint32)
+    rest = (ids - low).astype("<u4")
     at = int(np.ceil(PERCENTILE * len(rest))) - 1
     width = int(np.partition(rest, at)[at]).bit_length()
     over = np.flatnonzero(rest >> np.uint32(width)) if width < 32 else np.zeros(0, np.int64)
-    bits = (rest[:, None] >> np.arange(width, dtype=np.uint32)) & np.uint32(1)
+    bits = np.unpackbits(rest.view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :width]
     head = np.array((low, len(rest), width, len(over)), HEAD)
     return b"".join([
-        head.tobytes(), np.packbits(bits.astype(np.uint8).ravel(), bitorder="little").tobytes(),
+        head.tobytes(), np.packbits(bits, bitorder="little").tobytes(),
         over.astype("<u2").tobytes(), (rest[over] >> np.uint32(width)).astype("<u4").tobytes(),
     ])
 
@@ -58,15 +59,14 @@ def unpack_block(body: bytes, at: int) -> np.ndarray:
     low, count, width, n_over = (int(head[f]) for f in HEAD.names)
     at += HEAD.itemsize
     n_bytes = -(-count * width // 8)
-    bits = np.unpackbits(np.frombuffer(body, np.uint8, n_bytes, at), bitorder="little")[: count * width]
-    rest = np.zeros(count, np.uint64)
-    for k, column in enumerate(bits.reshape(count, width).T if width else ()):
-        rest |= column.astype(np.uint64) << np.uint64(k)
+    bits = np.zeros((count, 32), np.uint8)
+    packed = np.frombuffer(body, np.uint8, n_bytes, at)
+    bits[:, :width] = np.unpackbits(packed, bitorder="little")[: count * width].reshape(count, width)
+    rest = np.packbits(bits, axis=1, bitorder="little").view("<u4").ravel()
     at += n_bytes
     where = np.frombuffer(body, "<u2", n_over, at)
-    high = np.frombuffer(body, "<u4", n_over, at + 2 * n_over)
-    rest[where] |= high.astype(np.uint64) << np.uint64(width)
-    return (rest + np.uint64(low)).astype("<u4")
+    rest[where] |= np.frombuffer(body, "<u4", n_over, at + 2 * n_over) << np.uint32(width)
+    return rest + np.uint32(low)
 
 
 def pack(ids: np.ndarray) -> tuple[bytes, list[int]]:
@@ -80,11 +80,18 @@ def unpack(body: bytes, starts) -> np.ndarray:
     return np.concatenate([np.zeros(0, "<u4"), *(unpack_block(body, int(s)) for s in starts)])
 
 
+_SMALL = "a-zß-öø-ɏ"
+# Lower-cased texts of these characters have no contraction, and their letters and digits are those of the pattern.
+PLAIN = re.compile(r"[ -&(-~\nÀ-ÖØ-öø-ɏ]*")
+PLAIN_WORD = re.compile(rf"[{_SMALL}]+|[0-9]|[^\s{_SMALL}0-9]+")
+
+
 class WordEncoder:
-    """Ids of texts by the tokenizers library; each distinct blank-separated word is encoded once and remembered.
+    """Ids of texts by the tokenizers library; each distinct word is encoded once and remembered.
 
-    Right only for vocabularies whose pre-tokenizer drops white space, as blanks then never
-    share a token with a word.
+    Right for vocabularies that lower the case, drop white space and mark the end of each word, as blanks
+    then never share a token with a word. New words are encoded as one text; the end marks
+    tell them apart again.
     """
 
     def __init__(self, path: str):
@@ -93,16 +100,37 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
 
+    def words(self, text: str) -> list[str]:
+        """Words whose ids one after the other are those of the text."""
+        if PLAIN.fullmatch(text) and not any(token in text for token in self.special):
+            return PLAIN_WORD.findall(text.lower())
+        return text.replace("\n", " ").split(" ")
+
+    def learn(self, words: list[str]) -> None:
+        plain = [w for w in words if PLAIN_WORD.fullmatch(w) and PLAIN.fullmatch(w)]
+        (code,) = self.tokenizer.encode_batch([" ".join(plain)], add_special_tokens=False)
+        ids = np.array(code.ids, "<u4")
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) == len(plain):
+            raw, edges = ids.tobytes(), [0, *(4 * ends).tolist()]
+            self.known.update((w, raw[a:b]) for w, a, b in zip(plain, edges, edges[1:]))
+        rest = [w for w in words if w not in self.known]
+        for word, code in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
+            self.known[word] = array("I", code.ids).tobytes()
+
     def encode_batch(self, texts: list[str], end: int) -> list[bytes]:
-        parts = [text.replace("\n", " ").split(" ") for text in texts]
+        parts = [self.words(text) for text in texts]
         seen = set().union(*parts)
         fresh = [w for w in seen if w not in self.known]
         if len(self.known) + len(fresh) > REMEMBERED:
             self.known, fresh = {}, list(seen)
-        for word, code in zip(fresh, self.tokenizer.encode_batch(fresh, add_special_tokens=False)):
-            self.known[word] = array("I", code.ids).tobytes()
+        self.learn(fresh)
         get, last = self.known.__getitem__, array("I", [end]).tobytes()
         return [b"".join(map(get, words)) + last for words in parts]
 
