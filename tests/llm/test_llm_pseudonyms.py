@@ -48,6 +48,31 @@ def test_invalid_values_stay(text):
     assert P.pseudonymise(text, STEP) == (text, {})
 
 
+@pytest.mark.parametrize("value, rest", [
+    ("4111 1111 1111 1111", " 12/26"), ("4111111111111111", " 737"), ("4111-1111-1111-1111", "-737"),
+    ("378282246310005", " 2024-02-29"), ("DE89370400440532013000", " BIC COBADEFFXXX"),
+    ("DE89 3704 0044 0532 0130 00", " COBADEFFXXX"), ("GB82 WEST 1234 5698 7654 32", " MIDLGB22"),
+])
+def test_a_number_ends_before_what_follows_a_separator(value, rest):
+    text = f"pay {value}{rest} now"
+    fresh, counts = P.pseudonymise(text, STEP)
+    kind = "iban" if value[0].isalpha() else "card"
+    assert counts[kind] == 1 and value not in fresh and shape(fresh) == shape(text)
+    assert P.pseudonymise(fresh[4 : 4 + len(value)], STEP)[1] == {kind: 1}
+    assert P.pseudonymise(fresh, BACK)[0] == text
+
+
+def test_cards_beside_other_digits_are_masked_whole_and_come_back():
+    for k in range(400):
+        payload = f"4{(k * 987654321987) % 10**14:014d}"
+        card = payload + P.luhn_digit(payload)
+        card = " ".join(card[i : i + 4] for i in range(0, 16, 4))
+        for text in (f"{card} {k % 90 + 10}/26", f"{card} {k % 900 + 100}", f"{k % 90 + 10} {card}"):
+            fresh, counts = P.pseudonymise(text, STEP)
+            assert counts == {"card": 1} and card not in fresh
+            assert P.pseudonymise(fresh, BACK)[0] == text
+
+
 def test_results_are_valid():
     for k in range(300):
         payload = f"{(k * 987654321987) % 10**15:015d}"

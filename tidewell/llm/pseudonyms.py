@@ -10,7 +10,11 @@ equal values have equal pseudonyms in every document. Who has the key can revers
 A permutation of 0 .. n - 1 is a Feistel network over the smallest pair of halves that holds n,
 walked along its cycle until it falls below n again.
 
-Overlapping finds: the leftmost wins, then the kind listed first.
+Overlapping finds: the leftmost wins, then the kind listed first. Digits or capitals that follow a number after a
+separator may not belong to it: an account number ends at its country's length if a separator stands there, and a card
+that is not valid as a whole ends at the last separator that leaves a valid one, unless a valid card of more digits
+begins within it. Where digits stand beside a card, its pseudonym is the next one of its cycle that is found at the
+same place again, so that it can be reversed; in these few texts it differs from the card's usual pseudonym.
 
 Defined results: a null text stays null, an empty one empty; a text without finds is
 unchanged; equal texts have equal results.
@@ -182,6 +186,14 @@ KINDS: list[tuple[str, str, Callable[[str, Step], str | None]]] = [
     ("phone", r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)"
               r"|(?<![\d+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])", _phone),
 ]
+# Characters of an account number by country.
+ACCOUNT_LENGTHS = {country: n for n, countries in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE IM GG JE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GF GP GQ GR IT KM MC MF MG MQ MR NC PF PM RE "
+    "SM TD TF WF YT BL", 28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}.items() for country in countries.split()}
 FINDER = re.compile("|".join(f"(?P<{name}>{pattern})" for name, pattern, _ in KINDS), re.ASCII)
 CHANGE = {name: change for name, _, change in KINDS}
 
@@ -194,29 +206,78 @@ def _steps(key: bytes, backward: bool) -> Step:
     return step
 
 
-def pseudonymise(text: str, step: Step) -> tuple[str, dict[str, int]]:
-    """The text with every valid find replaced, and how many of each kind."""
-    out, counts, at, done = [], {}, 0, 0
-    if not _MARK.search(text):
-        return text, counts
+def _ends(name: str, own: re.Match) -> list[int]:
+    """Where a find may end, in the order in which the ends are tried."""
+    text, start, end = own.string, own.start(), own.end()
+    if name == "card":
+        return [end, *(i for i in range(end - 1, start, -1) if text[i] in " -")]
+    if name == "iban":
+        size = ACCOUNT_LENGTHS.get(own[0][:2])
+        stops = (i for i in range(start, end + 1) if i == end or text[i] == " ")
+        return [*(i for i in stops if i - start - text.count(" ", start, i) == size), end]
+    return [end]
+
+
+def _outdone(text: str, start: int, end: int) -> bool:
+    """Whether a valid card of more digits begins behind a separator in text[start:end] and ends beyond it."""
+    size = len(_digits(text[start:end]))
+    for gap in re.finditer("[ -]", text[start:end]):
+        own = _CARD.match(text, start + gap.end())
+        for to in _ends("card", own) if own else ():
+            value = text[own.start() : to]
+            if to > end and len(_digits(value)) > size and _card(value, lambda v, n, tweak: v) is not None:
+                return True
+    return False
+
+
+def _next_find(text: str, at: int, step: Step) -> tuple[str, int, int, str] | None:
+    """(kind, start, end, pseudonym) of the first valid find from ``at`` on."""
     while (m := FINDER.search(text, at)) is not None:
         # a find that is not valid under its kind may hide one of a later kind at the same place
         for name, pattern in _PATTERNS:
             if name != m.lastgroup and _ORDER[name] < _ORDER[m.lastgroup]:
                 continue
             own = m if name == m.lastgroup else pattern.match(text, m.start())
-            fresh = CHANGE[name](own[0], step) if own else None
-            if fresh is not None:
-                out += [text[done : own.start()], fresh]
-                counts[name] = counts.get(name, 0) + 1
-                at = done = own.end()
-                break
-        else:
-            at = m.start() + 1
+            for end in _ends(name, own) if own else ():
+                fresh = CHANGE[name](text[m.start() : end], step)
+                if fresh is not None:
+                    if name == "card" and end < own.end() and _outdone(text, m.start(), end):
+                        break
+                    return name, m.start(), end, fresh
+        at = m.start() + 1
+    return None
+
+
+def _found_again(text: str, at: int, find: tuple[str, int, int, str], step: Step) -> str:
+    """The first pseudonym along the card's cycle that is found where the card was, whatever digits stand beside it."""
+    name, start, end, fresh = find
+    if not (_DIGIT_BEFORE.search(text[max(start - 2, 0) : start]) or _DIGIT_AFTER.match(text, end)):
+        return fresh
+    while True:
+        again = _next_find(text[max(at - 1, 0) : start] + fresh + text[end : end + 64], min(at, 1), step)
+        if again and (again[0], again[1] + max(at - 1, 0), again[2] + max(at - 1, 0)) == (name, start, end):
+            return fresh
+        fresh = CHANGE[name](fresh, step)
+
+
+def pseudonymise(text: str, step: Step) -> tuple[str, dict[str, int]]:
+    """The text with every valid find replaced, and how many of each kind."""
+    out, counts, done = [], {}, 0
+    if not _MARK.search(text):
+        return text, counts
+    while (find := _next_find(text, done, step)) is not None:
+        name, start, end, fresh = find
+        if name == "card":
+            fresh = _found_again(text, done, find, step)
+        out += [text[done:start], fresh]
+        counts[name] = counts.get(name, 0) + 1
+        done = end
     return "".join([*out, text[done:]]), counts
 
 
 _PATTERNS = [(name, re.compile(pattern, re.ASCII)) for name, pattern, _ in KINDS]
+_CARD = dict(_PATTERNS)["card"]
+_DIGIT_BEFORE, _DIGIT_AFTER = re.compile("[0-9][ -]$"), re.compile("[ -][0-9]")
 _MARK = re.compile("[0-9@]")  # every kind holds one of these
 _ORDER = {name: i for i, (name, _, _) in enumerate(KINDS)}
 
