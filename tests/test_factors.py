@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tidewell.catalog import latent as registered
 from tidewell.operators import factors, ratings as R
 from tidewell.plans import collaborative, latent
 
@@ -191,3 +192,56 @@ def test_similar_items(spark, dense, known, movies):
     assert [r["title"] for r in rows] == [f"movie {i:02d}" for i in want]
     with pytest.raises(KeyError):
         collaborative.similar_items(rated, "no such movie")
+
+
+@pytest.fixture(scope="module")
+def shop(spark, tmp_path_factory):
+    """Tables of 40 users and 30 products under 5 names, some rated twice by one user; and the dense mean ratings."""
+    rng = np.random.default_rng(11)
+    folder, lines = str(tmp_path_factory.mktemp("shop")), []
+    for user in range(20, 60):
+        lines += [(user, int(p) + 1, float(rng.integers(1, 50))) for p in rng.choice(30, 9)]
+    lines += [(20, p + 1, 7.0) for p in range(20)]
+    tables = {
+        "orders": ([(u, u) for u in range(20, 60)], "o_orderkey long, o_custkey long"),
+        "lineitem": (lines, "l_orderkey long, l_partkey long, l_quantity double"),
+        "part": ([(p + 1, f"name {p % 5}", "t", "b") for p in range(30)], "p_partkey long, p_name string, p_type string, p_brand string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
+    total, n = np.zeros((40, 30)), np.zeros((40, 30))
+    for user, product, rating in lines:
+        total[user - 20, product - 1] += rating
+        n[user - 20, product - 1] += 1
+    assert (n > 1).any() and (n.sum(0) > 0).all()
+    return folder, total / np.maximum(n, 1)
+
+
+@pytest.fixture(scope="module")
+def every_prediction(shop):
+    dense = shop[1]
+    mean = dense.mean(1, keepdims=True)
+    u, s, v = np.linalg.svd(dense - mean, full_matrices=False)
+    return (u[:, : latent.RANK] * s[: latent.RANK]) @ v[: latent.RANK] + mean
+
+
+def test_registered_predictions_cover_every_product(spark, shop, every_prediction):
+    rows = registered.svd_predictions(spark, shop[0]).collect()
+    got = {(r["userId"] - 20, r["movieId"] - 1): r["prediction"] for r in rows}
+    assert len(rows) == 40 * 30 and set(got) == {(u, p) for u in range(40) for p in range(30)}
+    assert all(abs(x - every_prediction[at]) < 1e-4 for at, x in got.items())
+
+
+def unseen(dense, predictions, user, n):
+    left = [p for p in range(dense.shape[1]) if dense[user, p] == 0]
+    return sorted(left, key=lambda p: (-round(predictions[user, p], 6), p))[:n]
+
+
+def test_registered_recommendations_rank_every_unseen_product(spark, shop, every_prediction):
+    rows = registered.svd_recommend(spark, shop[0]).collect()
+    want = unseen(shop[1], every_prediction, registered.USER - 20, 10)
+    assert [r["movieId"] - 1 for r in sorted(rows, key=lambda r: (-r["prediction"], r["movieId"]))] == want
+    rows = registered.svd_top_unseen(spark, shop[0]).collect()
+    for user in range(40):
+        got = sorted((r["rank"], r["movieId"] - 1) for r in rows if r["userId"] == user + 20)
+        assert got == list(enumerate(unseen(shop[1], every_prediction, user, 3), 1))

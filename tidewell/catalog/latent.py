@@ -51,22 +51,48 @@ def latent_corner(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corner.withColumn("r", F.round("r", 4))
 
 
+def _fitted(spark: SparkSession, sf_dir: str):
+    """All ratings, and their model of rank 12 over every rated movie; a movie that a user rated again counts by its mean."""
+    known = ratings(spark, sf_dir)
+    return known, plan.fit_ratings(known, strict=False)
+
+
 def svd_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Predictions of every user for every movie, rated or not, by a strict model of rank 12."""
+    """Predictions of every user for every rated movie, rated by that user or not."""
+    known, model = _fitted(spark, sf_dir)
+    found = plan.predict_users(model, known.select("userId").distinct())
+    return found.withColumn("prediction", F.round("prediction", 4))
+
+
+def svd_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known, model = _fitted(spark, sf_dir)
+    found = plan.recommend(model, known, movies(spark, sf_dir), USER, 10)[1]
+    return found.withColumn("prediction", F.round("prediction", 4))
+
+
+def svd_top_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three unseen movies for every user."""
+    known, model = _fitted(spark, sf_dir)
+    found = plan.top_unseen(model, known, known.select("userId").distinct(), 3)
+    return found.select("userId", "movieId", "rank", F.round("prediction", 4).alias("prediction"))
+
+
+def graded_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions of every user for every title, rated or not, by a strict model of rank 12."""
     known = _graded_ratings(spark, sf_dir)
     model = plan.fit_ratings(known)
     found = plan.predict_users(model, known.select("userId").distinct())
     return found.withColumn("prediction", F.round("prediction", 4))
 
 
-def svd_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
+def graded_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = _graded_ratings(spark, sf_dir)
     found = plan.recommend(plan.fit_ratings(known), known, movies(spark, sf_dir), USER, 10)[1]
     return found.withColumn("prediction", F.round("prediction", 4))
 
 
-def svd_top_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three unseen movies for every user."""
+def graded_top_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three unseen titles for every user."""
     known = _graded_ratings(spark, sf_dir)
     found = plan.top_unseen(plan.fit_ratings(known), known, known.select("userId").distinct(), 3)
     return found.select("userId", "rank", F.round("prediction", 4).alias("prediction"))
@@ -187,18 +213,21 @@ QUERIES = {
         SELECT a.title AS left, b.title AS right, round(list_dot_product(a.e, b.e), 4) AS r
         FROM firsts a JOIN firsts b ON a.title <= b.title""",
     ),
-    "svd_predictions": (
-        svd_predictions,
+    "svd_predictions": (svd_predictions, None),
+    "svd_recommend": (svd_recommend, None),
+    "svd_top_unseen": (svd_top_unseen, None),
+    "graded_predictions": (
+        graded_predictions,
         f"""{PREDICTED} SELECT "userId", "movieId", round(prediction, 4) AS prediction FROM predictions""",
     ),
-    "svd_recommend": (
-        svd_recommend,
+    "graded_recommend": (
+        graded_recommend,
         f"""{PREDICTED} SELECT movies.*, round(round(predictions.prediction, 6), 4) AS prediction FROM predictions JOIN movies USING ("movieId")
         WHERE "userId" = {USER} AND "movieId" NOT IN (SELECT "movieId" FROM seen WHERE "userId" = {USER})
         ORDER BY round(predictions.prediction, 6) DESC, "movieId" LIMIT 10""",
     ),
-    "svd_top_unseen": (
-        svd_top_unseen,
+    "graded_top_unseen": (
+        graded_top_unseen,
         f"""{PREDICTED}, ranked AS (SELECT "userId", prediction, (row_number() OVER (PARTITION BY "userId"
         ORDER BY round(prediction, 6) DESC, "movieId"))::INT AS rank FROM predictions ANTI JOIN seen USING ("userId", "movieId"))
         SELECT "userId", rank, round(round(prediction, 6), 4) AS prediction FROM ranked WHERE rank <= 3""",
