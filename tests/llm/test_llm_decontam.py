@@ -105,6 +105,47 @@ def test_clipped_repeated_and_awkward_items(spark):
     assert sorted(r["doc_id"] for r in D.drop_leaks(docs, items).collect()) == [13, 14]
 
 
+def split(text):
+    hashes, first = D.text_words(pa.array([text], pa.large_string()))
+    return len(hashes), len(set(hashes.tolist()))
+
+
+@pytest.mark.parametrize("text, n", [
+    ("Ünï çödé, e\u0301t\u00e9", 3), ("\u4f60\u597d\uff0c\u4e16\u754c\u3002", 4), ("\u770bHello\u3000world2024\u5e74", 4),
+    ("\u0e01\u0e34\u0e19\u0e02", 4), ("\uc548\ub155 \ud558\uc138\uc694", 2), ("\u00abmot\u00bb \u2014 \u201eWort\u201c", 2),
+    ("\U0001f642\U0001f643", 2), ("\U00020000\U00020001x", 3), ("\u2026\u3002\uff01", 0),
+])
+def test_words_of_any_script(text, n):
+    assert split(text) == (n, n)
+
+
+def unspaced(seed, n, low=0x4E00, size=2000):
+    rng = random.Random(seed)
+    return "".join(chr(low + rng.randrange(size)) for _ in range(n))
+
+
+@pytest.mark.parametrize("low, size", [(0x4E00, 2000), (0x3042, 60), (0x0E01, 40)])
+def test_items_in_running_text_without_spaces(low, size):
+    clause = [unspaced(i, n, low, size) for i, n in enumerate((200, 30, 12, 7, 4))]
+    clause[1] = clause[1][:9] + "\uff0c" + clause[1][9:] + "\u3002"
+    block = D.Block.of(list(range(5)), clause)
+    before, after = unspaced(90, 80, low, size), unspaced(91, 80, low, size)
+    texts = [before + c + after for c in clause] + [before + after, before + clause[0][:60] + "\u7532\u4e59" + clause[0][60:] + after]
+    found = {(t, i): d for t, i, d in block.find(pa.array(texts, pa.large_string()))}
+    assert all(found[i, i] == 0 for i in range(5)) and found[6, 0] == 2
+    if size == 2000:
+        assert set(found) == {(i, i) for i in range(5)} | {(6, 0)}
+
+
+def test_short_items_are_held_without_edits_only(spark):
+    items = spark.createDataFrame([(1, "Quite so short!"), (2, "gulp"), (3, "..."), (4, "\u4f60\u597d")], "item_id long, text string")
+    docs = spark.createDataFrame(
+        [(1, "a quite, so SHORT b"), (2, "quite short so"), (3, "gulps ..."), (4, "one gulp"), (5, "\u554a\u4f60\u597d\u554a"),
+         (6, "\u4f60\u4e0d\u597d")], "doc_id long, text string")
+    assert collected(D.find_items(docs, items)) == [(1, 1, 0), (4, 2, 0), (5, 4, 0)]
+    assert sorted(r["doc_id"] for r in D.drop_leaks(docs, items).collect()) == [2, 3, 6]
+
+
 def test_items_are_taken_in_blocks(spark, monkeypatch):
     items = spark.createDataFrame([(i, prose(i, 20)) for i in range(12)], "item_id long, text string")
     docs = spark.createDataFrame([(i, prose(i, 20) + " end") for i in range(12)], "doc_id long, text string")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -99,6 +101,60 @@ def find_words(data: np.ndarray, bounds: np.ndarray, inside: np.ndarray = NOT_WH
     return starts, ends, np.searchsorted(starts, bounds)
 
 
+# Letters of scripts written without spaces: Thai and Lao, Myanmar, Khmer, Tai, Balinese and Javanese, kana and Han, Yi, Tangut.
+UNSPACED = (
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A20, 0x1AAF), (0x1B00, 0x1B7F),
+    (0x2E80, 0x2FDF), (0x3005, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0xA4CF),
+    (0xA980, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x16FE0, 0x18DFF), (0x1AFF0, 0x1B2FF),
+)
+JOINERS = (0xAD, 0x200C, 0x200D)
+_GAP, _PART, _SINGLE = 0, 1, 2
+
+
+@lru_cache(1)
+def _classes() -> np.ndarray:
+    """Per code point below 0x20000: separator, part of a word, or a word by itself."""
+    out = np.full(0x20000, _PART, np.uint8)
+    for code in range(0x80, len(out)):
+        kind = unicodedata.category(chr(code))
+        if kind[0] in "PZ" or kind in ("Cc", "Cf") and code not in JOINERS:
+            out[code] = _GAP
+        elif kind in ("Sc", "Sm", "So"):
+            out[code] = _SINGLE
+    for low, high in UNSPACED:
+        part = out[low : high + 1]
+        part[part == _PART] = _SINGLE
+    return out
+
+
+def find_terms(data: np.ndarray, bounds: np.ndarray):
+    """As ``find_words``, by Unicode's classes: runs of letters, marks and digits, or one character of ``UNSPACED`` or a symbol."""
+    lead = np.flatnonzero(data >= 0xC0)
+    if not len(lead):
+        return find_words(data, bounds, ALNUM)
+    first = data[lead]
+    size = 2 + (first >= 0xE0).astype(np.int64) + (first >= 0xF0)
+    code = (first & (0x7F >> size).astype(np.uint8)).astype(np.int64)
+    for k in range(1, 4):
+        more = np.flatnonzero(size > k)
+        code[more] = code[more] << 6 | (data[lead[more] + k] & 0x3F)
+    table = _classes()
+    # beyond the table lie Han characters, then marks and private ones
+    kind = np.where(code < len(table), table[np.minimum(code, len(table) - 1)], np.where(code < 0x40000, _SINGLE, _PART))
+    mask = ALNUM[data]
+    gap = kind == _GAP
+    for k in range(4):
+        mask[lead[gap & (size > k)] + k] = False
+    cut = np.zeros(len(data) + 1, bool)  # a word ends before these bytes
+    single = kind == _SINGLE
+    cut[lead[single]] = True
+    cut[lead[single] + size[single]] = True
+    cut[bounds] = True
+    starts = np.flatnonzero(mask & (cut[:-1] | ~np.append(False, mask[:-1])))
+    ends = np.flatnonzero(mask & (cut[1:] | ~np.append(mask[1:], False))) + 1
+    return starts, ends, np.searchsorted(starts, bounds)
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True) -> np.ndarray:
     """One 64-bit hash per word; ``fold`` ignores the case of A to Z."""
     powers, inverse = _power_tables(len(data))

@@ -1,7 +1,7 @@
 """Benchmark passages in documents: CGK embedding, bit-sampling LSH over item-sized windows, exact edit distance.
 
-Words are lower-cased runs of letters, digits and non-ASCII characters. A document holds
-an item of n words if some stretch of it is within ``n * share`` word edits (insert, delete,
+Words are lower-cased runs of letters, marks and digits; in scripts written without spaces, and among symbols beyond
+ASCII, each character is a word. Spaces and punctuation of any script separate. A document holds an item of n words if some stretch of it is within ``n * share`` word edits (insert, delete,
 replace) of the item.
 
 * Windows. An item is cut into one piece more than edits are allowed, so an allowed copy keeps a
@@ -19,8 +19,8 @@ replace) of the item.
 Items are taken in blocks of bounded size, so what a task holds does not grow with the benchmark; each
 block is one pass over the documents.
 
-Defined results: null and empty texts hold nothing; items without an id, or of fewer than ``least_words``
-words, are not searched (common phrases are no leak); items of equal text are all reported;
+Defined results: null and empty texts hold nothing; items without an id or without words are not searched; items of
+fewer than ``least_words`` words are held only as they are, without an edit; items of equal text are all reported;
 repeated documents are reported each.
 """
 
@@ -34,7 +34,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from tidewell.llm.arrays import ALNUM, find_words, flat, mix, per_slice, strings, word_hashes
+from tidewell.llm.arrays import find_terms, flat, mix, per_slice, strings, word_hashes
 
 SHARE = 0.2
 LEAST_WORDS = 5
@@ -125,8 +125,8 @@ class Block:
            recall: float = RECALL) -> Block:
         hashes, first = text_words(pa.array(texts, pa.large_string()))
         n = np.diff(first)
-        used = np.flatnonzero(n >= least_words)
-        allowed = (n * share).astype(np.int64)
+        used = np.flatnonzero(n)
+        allowed = np.where(n >= least_words, n * share, 0).astype(np.int64)
         anchors = []
         for item in used:
             pieces = allowed[item] + 1
@@ -219,7 +219,7 @@ def equal_pairs(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.nda
 def text_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts, and per text its first word's number."""
     data, bounds = flat(pc.utf8_lower(strings(texts)))
-    starts, ends, first = find_words(data, bounds, ALNUM)
+    starts, ends, first = find_terms(data, bounds)
     return word_hashes(data, starts, ends, fold=False), first
 
 
