@@ -131,6 +131,16 @@ def test_one_row_of_each_class_stays(spark):
     assert neardup.drop_near_duplicates(empty(spark)).count() == 0
 
 
+def test_unlike_texts_under_one_id_both_stay(spark):
+    a, b, c = prose(31, 60), prose(32, 60), prose(33, 60)
+    rows = [(1, a), (1, b), (1, a), (2, a + " x"), (3, b), (4, c), (4, c + " x"), (5, c)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = neardup.near_duplicates(docs).select("doc_id", "class_id", "label").collect()
+    assert len({bytes(r["label"]) for r in found}) == 3 and {r["class_id"] for r in found} == {1, 4}
+    kept = collected(neardup.drop_near_duplicates(docs))
+    assert len(kept) == 3 and {(1, a), (1, b)} <= set(kept) and kept[2][0] == 4
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(f"{i:03d}", f"{i + 1:03d}") for i in range(60)] + [("a", "b")], "a string, b string")
     assert collected(connected(edges)) == [(f"{i:03d}", "000") for i in range(61)] + [("a", "a"), ("b", "a")]

@@ -244,7 +244,9 @@ def _open_pairs(shingles: DataFrame, percent: int) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
-    """(key, digest, class_id, n_words) of every row of ``docs``; see the module for what a class is.
+    """(key, digest, class_id, label, n_words) of every row of ``docs``; see the module for what a class is.
+
+    Where an id has several texts, unlike classes may have the same ``class_id``; ``label`` tells them apart.
 
     Equal texts are folded first, so copies never meet. In each bucket every text is
     compared with a hub and classes are formed. Texts of one bucket that are then still in
@@ -276,22 +278,23 @@ def near_duplicates(
         labels = connected(links.union(more))
     named = texts.join(labels, "digest", "left").select("digest", "id", label)
     names = named.groupBy("label").agg(F.min("id").alias("class_id"))
-    classes = materialize(named.join(names, "label").select("digest", "class_id"), "neardup-classes")
+    classes = materialize(named.join(names, "label").select("digest", "class_id", "label"), "neardup-classes")
     for table in (texts, shared, pairs, needed, links, labelled, shingles, open_, more):
         discard(table)
-    found = signed.join(classes, "digest").select("id", "digest", "class_id", "n_words")
-    alone = signed.where("digest is null").select("id", "digest", F.lit(None).cast("long").alias("class_id"), "n_words")
+    found = signed.join(classes, "digest").select("id", "digest", "class_id", "label", "n_words")
+    none = (F.lit(None).cast("long").alias("class_id"), F.lit(None).cast("binary").alias("label"))
+    alone = signed.where("digest is null").select("id", "digest", *none, "n_words")
     return found.unionByName(alone).withColumnRenamed("id", key)
 
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each class, that of its smallest id; rows of no class stay.
 
-    Of rows that repeat an id and its text one stays.
+    Classes that share their smallest id each keep a row. Of rows that repeat an id and its text one stays.
     """
     classes = near_duplicates(docs.select(key, text), key, text)
     # a class may hold several texts under its smallest id: the smallest of them stays
-    first = classes.where(F.col("class_id") == F.col(key)).groupBy("class_id").agg(F.min("digest").alias("digest"))
+    first = classes.where(F.col("class_id") == F.col(key)).groupBy("label", "class_id").agg(F.min("digest").alias("digest"))
     chosen = materialize(first.select(F.col("class_id").alias("id"), "digest"), "neardup-kept")
     mark = free_name(docs, "digest")
     wordless = F.coalesce(~F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(True)) | F.col(key).isNull()
