@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewell.llm import bpe, chat, decontam, divergence, language, neardup, pseudonyms, secret_spans, sharding, tokenfiles
+from tidewell.llm import bpe, chat, decontam, divergence, language, neardup, pseudonyms, quotient, secret_spans, sharding, tokenfiles
 from tidewell.session import scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -78,6 +78,10 @@ def op10_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.judge(_table(spark, sf_dir, "documents"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotient.exact_groups(_table(spark, sf_dir, "documents"))
+
+
 # Every special character gets a backslash before it: see chat.escape.
 _ESCAPED = r"regexp_replace(%s, '([<>\[\]\\])', '\\\1', 'g')"
 OP5_SQL = f"""
@@ -94,6 +98,13 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM n GROUP BY conv_id
 """
 
+OP11_SQL = r"""
+WITH plain AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = min(doc_id) OVER same AS kept,
+  sha256(t) AS text_sha256
+FROM plain WINDOW same AS (PARTITION BY t)
+"""
+
 QUERIES = {
     "op1_language_id": (op1_language_id, None),
     "op2_near_duplicates": (op2_near_duplicates, None),
@@ -105,4 +116,5 @@ QUERIES = {
     "op8_token_files": (op8_token_files, None),
     "op9_decontamination": (op9_decontamination, None),
     "op10_divergence": (op10_divergence, divergence.SQL),
+    "op11_exact_dedup": (op11_exact_dedup, OP11_SQL),
 }
