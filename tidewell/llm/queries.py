@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewell.llm import bpe, chat, decontam, divergence, language, neardup, pseudonyms, quotient, secret_spans, sharding, tokenfiles
-from tidewell.session import scratch_path
+from tidewell.llm import bpe, chat, decontam, divergence, language, neardup, pseudonyms, quotient, secret_spans, sharding, tokenfiles, variants
+from tidewell.session import materialize, scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -82,6 +82,11 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotient.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = materialize(variants.vocabulary(_table(spark, sf_dir, "documents")), "vocabulary")
+    return variants.variants(words)
+
+
 # Every special character gets a backslash before it: see chat.escape.
 _ESCAPED = r"regexp_replace(%s, '([<>\[\]\\])', '\\\1', 'g')"
 OP5_SQL = f"""
@@ -117,4 +122,5 @@ QUERIES = {
     "op9_decontamination": (op9_decontamination, None),
     "op10_divergence": (op10_divergence, divergence.SQL),
     "op11_exact_dedup": (op11_exact_dedup, OP11_SQL),
+    "op12_spelling_variants": (op12_spelling_variants, None),
 }
