@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewell.llm import bpe, chat, decontam, divergence, language, neardup, pseudonyms, quotient, secret_spans, sharding, tokenfiles, variants
+from tidewell.llm import bpe, chat, collocations, decontam, divergence, language, neardup, pseudonyms, quotient, secret_spans, sharding, tokenfiles, variants
 from tidewell.session import materialize, scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -87,6 +87,10 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.variants(words)
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 # Every special character gets a backslash before it: see chat.escape.
 _ESCAPED = r"regexp_replace(%s, '([<>\[\]\\])', '\\\1', 'g')"
 OP5_SQL = f"""
@@ -110,6 +114,29 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM plain WINDOW same AS (PARTITION BY t)
 """
 
+OP13_SQL = r"""
+WITH pieces AS (
+  SELECT doc_id, coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+lists AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+counts AS (SELECT lang, p, count(*) AS f FROM (
+    SELECT lang, unnest(flatten(list_transform([1, 2, 3, 4], lambda m: list_transform(range(1, len(w) - m + 2), lambda i: w[i:i + m - 1])))) AS p
+    FROM lists) GROUP BY ALL),
+candidates AS MATERIALIZED (SELECT lang, p, f AS a FROM counts WHERE len(p) > 1 AND f >= 30),
+cuts AS (SELECT lang, p, a, unnest(range(1, len(p))) AS k FROM candidates),
+scored AS (SELECT c.lang, c.p, a, k, x.f AS l, y.f AS r, (2000000::HUGEINT * a // (x.f + y.f))::BIGINT AS score
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.p = c.p[:k] JOIN counts y ON y.lang = c.lang AND y.p = c.p[k + 1:]),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+inner_parts AS (SELECT lang, a AS longer, unnest(flatten(list_transform(range(2, len(p)), lambda m:
+    list_transform(range(1, len(p) - m + 2), lambda i: p[i:i + m - 1])))) AS p FROM candidates WHERE len(p) > 2),
+covered AS (SELECT DISTINCT s.lang, s.p FROM candidates s JOIN inner_parts i ON i.lang = s.lang AND i.p = s.p
+  WHERE 100::HUGEINT * i.longer >= 80::HUGEINT * s.a),
+total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM lists GROUP BY lang),
+ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank,
+    array_to_string(p, ' ') AS phrase, a, l, r, score FROM lowest ANTI JOIN covered USING (lang, p))
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
 QUERIES = {
     "op1_language_id": (op1_language_id, None),
     "op2_near_duplicates": (op2_near_duplicates, None),
@@ -123,4 +150,5 @@ QUERIES = {
     "op10_divergence": (op10_divergence, divergence.SQL),
     "op11_exact_dedup": (op11_exact_dedup, OP11_SQL),
     "op12_spelling_variants": (op12_spelling_variants, None),
+    "op13_collocations": (op13_collocations, OP13_SQL),
 }
