@@ -1,3 +1,4 @@
+import ast
 from itertools import groupby
 
 import pytest
@@ -5,6 +6,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tidewell.functions.text import nested_names, tokenize, word_ngrams
+from tidewell.plans.content import set_aside
 
 
 def kind(ch):
@@ -79,3 +81,47 @@ def test_nested_names(spark):
     assert run(spark, cells, nested_names(F.col("x"))) == ["Action Men's", "Drama", ""]
     with pytest.raises(Exception, match="[Mm]alformed"):
         run(spark, ["[{oops"], nested_names(F.col("x")))
+
+
+def read_literal(cell):
+    """What the names of a cell are by Python's own reader; null where it is no list of dicts."""
+    try:
+        value = ast.literal_eval(cell)
+    except (ValueError, SyntaxError):
+        return None
+    if not isinstance(value, list) or not all(isinstance(x, dict) for x in value):
+        return None
+    return " ".join(str(x["name"]) for x in value if x.get("name") is not None)
+
+
+LITERALS = [
+    "[{'id': 1, 'name': 'Drama', 'parent': None}, {'name': \"Men's\", 'adult': True, 'x': False}]", r"[{'name': 'it\'s \"q\"'}]",
+    r"[{'name': 'a\\b\n\t\x41\u00e9\U0001F600\101\q\a'}]", "[{'name': 'x'},]", "[,]", "[{'name': 'a'},,]", "[{oops", "[] x", "[]}, []", "[], []",
+    "[] ]", "", " ", "{'name': 'x'}", "[1]", "[{'name': 'a\nb'}]", "[{'name': 'tab\there'}]", "[{'name': None}, {'name': 'z'}]",
+    r"[{'name': '\x4'}]", "[{'name': 'None True, ]'}]", r"[{'name': 'end\\'}]", r"[{'name': 'q\'}]", r"[{'name': '\']", "[{'name': 'a'}]\\",
+    "[(1, 2)]", "[{'name': 3}]", "[{'name': 'a\x01b'}]", "[{'name': 'a', 'n': [1, -2.5e3, {'k': 'v'}]}]", "[{'name': 'a' : 'b'}]", "[None]",
+    "  [{'name': 'a'}]", "[{'name': 'ab" + "\\\\" * 20_000 + "'}]",
+]
+
+
+def test_literals_of_python(spark):
+    got = run(spark, LITERALS, nested_names(F.col("x"), "null"))
+    want = [read_literal(cell.lstrip()) for cell in LITERALS]
+    assert got == want
+
+
+names = st.text(st.one_of(st.sampled_from("'\"\\nux0\t,[]{}: é😀"), st.characters(exclude_categories=("Cs",), max_codepoint=0x10FFF)), max_size=12)
+values = st.one_of(st.none(), st.booleans(), st.integers(-(2**40), 2**40), st.floats(allow_nan=False, allow_infinity=False), names)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.fixed_dictionaries({"id": values, "name": names, "more": st.lists(values, max_size=2)}), max_size=3), min_size=1, max_size=40))
+def test_written_literals_are_read_again(spark, cells):
+    got = run(spark, [repr(cell) for cell in cells], nested_names(F.col("x")))
+    assert got == [" ".join(x["name"] for x in cell) for cell in cells]
+
+
+def test_unreadable_rows_are_set_aside(spark):
+    rows = [(1, "[{'name': 'a'}]", None), (2, "[{'name': 'a'}]", "[{"), (3, "None", "[]"), (4, "[]", "[{'name': None}]")]
+    good, bad = set_aside(spark.createDataFrame(rows, "id int, genres string, keywords string"))
+    assert sorted(r["id"] for r in good.collect()) == [1, 4] and sorted(r["id"] for r in bad.collect()) == [2, 3]

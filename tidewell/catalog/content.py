@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewell.catalog.inputs import DETAILS_SQL, movie_details, movies
+from tidewell.catalog.inputs import DETAILS_SQL, movie_details, movies, table
 from tidewell.functions.text import nested_names
 from tidewell.plans import content as plan
 from tidewell.session import materialize
@@ -24,6 +24,17 @@ def flat_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
                           nested_names(F.col("keywords")).alias("keywords"))
 
 
+def literal_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text as a name in a cell of Python notation, with quotes of both kinds; every seventh cell is cut off."""
+    quote = F.when(F.col("doc_id") % 3 == 1, F.lit('"')).otherwise("'")
+    text = F.replace(F.replace("text", F.lit("\\"), F.lit(r"\\")), quote, F.concat(F.lit("\\"), quote))
+    text = F.replace(F.replace(text, F.lit("\n"), F.lit(r"\n")), F.lit("\r"), F.lit(r"\x0d"))
+    cell = F.concat(F.lit("[{'id': None, 'name': "), quote, text, quote, F.lit(", 'main': True}, {'id': "), "doc_id", F.lit("}"))
+    end = F.when(F.col("doc_id") % 7 == 0, F.lit("")).otherwise("]")
+    cells = table(spark, sf_dir, "documents").select("doc_id", F.concat(cell, end).alias("cell"))
+    return cells.select("doc_id", nested_names(F.col("cell"), "null").alias("names"))
+
+
 def ngram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = movies(spark, sf_dir).withColumnRenamed("movieId", "id")
     return plan.ngram_counts(items, F.concat_ws(" ", "title", "genres"))
@@ -69,6 +80,9 @@ QUERIES = {
         flat_genres,
         f"WITH {DETAILS_SQL} SELECT id, genres, title AS keywords FROM details",
     ),
+    "literal_cells": (
+        literal_cells, "SELECT doc_id, CASE WHEN doc_id % 7 <> 0 THEN text END AS names FROM documents",
+    ),
     "ngram_counts": (
         ngram_counts,
         "WITH texts AS (SELECT p_partkey AS id, p_name || ' ' || p_type || ' ' || p_brand AS text FROM part), "

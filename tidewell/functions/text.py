@@ -52,7 +52,83 @@ def word_ngrams(text: Column, shortest: int = 1, longest: int = 3) -> Column:
     return bound[0]
 
 
-def nested_names(cell: Column) -> Column:
-    """``[{"name": "A", ...}, ...]`` in a text cell -> ``"A ..."``; bad cells fail."""
-    parsed = F.from_json(cell, schemas.NAMED, {"mode": "FAILFAST"})
-    return F.array_join(parsed.getField("name"), " ")
+# Escapes of a Python literal and what they are in JSON without a quotation mark.
+ESCAPES = {
+    "'": r"\u0027", '"': r"\u0022", "\\": r"\u005c", "a": r"\u0007", "v": r"\u000b", "n": r"\n", "r": r"\r", "t": r"\t", "b": r"\b",
+    "f": r"\f", "\n": "",
+}
+_ATOM = r"\\(?:x[0-9a-fA-F]{2}|u[0-9a-fA-F]{4}|U[0-9a-fA-F]{8}|[0-7]{1,3}|[\s\S])?|[^\\]++"
+_PIECE = r"""'[^']*+'|"[^"]*+"|[^'"]++|['"]"""
+_BAD = "!"
+
+
+def _unit(code: Column) -> Column:
+    """A code unit as JSON spells it."""
+    return F.concat(F.lit(r"\u"), F.lpad(F.hex(code), 4, "0"))
+
+
+def _escape(atom: Column) -> Column:
+    """One escape of a Python literal as an escape of JSON; a backslash alone where Python refuses it."""
+    letter, rest = F.substring(atom, 2, 1), F.substr(atom, F.lit(3))
+    wide = F.conv(rest, 16, 10).cast("long")
+    over = wide - 0x10000
+    pair = F.concat(_unit(over.bitwiseAND(0xFFC00) / 1024 + 0xD800), _unit(over.bitwiseAND(0x3FF) + 0xDC00))
+    known = F.create_map(*[F.lit(x) for item in ESCAPES.items() for x in item])
+    return (
+        F.when(known[letter].isNotNull(), known[letter])
+        .when(letter.isin("x", "u", "U", "N", "") & (F.length(atom) <= 2), F.lit("\\"))
+        .when(letter == "x", F.concat(F.lit(r"\u00"), rest))
+        .when(letter == "u", atom)
+        .when(letter == "U", F.when(wide < 0x10000, _unit(wide)).when(wide <= 0x10FFFF, pair).otherwise("\\"))
+        .when(letter.between("0", "7"), _unit(F.conv(F.substr(atom, F.lit(2)), 8, 10).cast("long")))
+        .otherwise(F.concat(F.lit(r"\u005c"), letter))
+    )
+
+
+def literal_json(cell: Column) -> Column:
+    """A Python (or JSON) literal of lists, dicts, strings, numbers, None and truth values as JSON; null if it is none.
+
+    Escapes are rewritten first, so that no quotation mark is left inside a string; then the strings are told
+    from what stands between them. Both are one pass over the text. Tuples, sets, named characters, numbers that JSON can't
+    spell, strings side by side and repeated keys are refused.
+    """
+    atoms = F.transform(
+        F.regexp_extract_all(cell, F.lit(_ATOM), F.lit(0)), lambda x: F.when(x.startswith("\\"), _escape(x)).otherwise(x)
+    )
+
+    def string(piece: Column) -> Column:
+        inner = F.substr(piece, F.lit(2), F.length(piece) - 2)
+        text = F.replace(F.replace(inner, F.lit('"'), F.lit(r"\u0022")), F.lit("\t"), F.lit(r"\t"))
+        return F.when(inner.rlike(r"[\n\r]"), F.lit(_BAD)).otherwise(F.concat(F.lit('"'), text, F.lit('"')))
+
+    def between(piece: Column) -> Column:
+        out = piece
+        for name, value in (("None", "null"), ("True", "true"), ("False", "false")):
+            out = F.regexp_replace(out, rf"\b{name}\b", value)
+        out = F.regexp_replace(out, r",(\s*[\]}])", "$1")
+        return F.when(piece.rlike(r"\\|[\[{:,]\s*,|['\"]"), F.lit(_BAD)).otherwise(out)
+
+    pieces = F.transform(
+        F.regexp_extract_all(F.array_join(atoms, ""), F.lit(_PIECE), F.lit(0)),
+        lambda x: F.when((F.length(x) > 1) & x.rlike("^['\"]"), string(x)).otherwise(between(x)),
+    )
+    json = F.array_join(pieces, "")
+    plain = F.regexp_replace(json, r"[\x00-\x1f]", " ")
+    # the parser stops after one value; no text can end both frames early
+    frames = [F.try_parse_json(F.concat(F.lit(a), plain, F.lit(b))).isNotNull() for a, b in (("[", "]"), ('{"":', "}"))]
+    return F.when(frames[0] & frames[1], json)
+
+
+def nested_names(cell: Column, bad: str = "fail") -> Column:
+    """``[{"name": "A", ...}, ...]``, in Python's or JSON's notation, in a text cell -> ``"A ..."``.
+
+    A null cell gives null. A cell that is no list of dicts fails, or gives null with ``bad="null"``.
+    """
+    json = literal_json(cell)
+    listed = F.when(json.rlike(r"^\s*\[\s*(\]|\{)"), F.from_json(json, schemas.NAMED, {"allowUnquotedControlChars": "true"}))
+    names = F.array_join(listed.getField("name"), " ")
+    if bad == "null":
+        return names
+    return F.when(cell.isNull() | names.isNotNull(), names).otherwise(
+        F.raise_error(F.concat(F.lit("Malformed nested cell: "), F.substring(cell, 1, 200))).cast("string")
+    )

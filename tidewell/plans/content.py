@@ -32,6 +32,14 @@ def prepare(movies: DataFrame, share: float = 0.9, nested: tuple[str, ...] = ("g
     return scored.withColumns({c: nested_names(F.col(c)) for c in nested})
 
 
+def set_aside(movies: DataFrame, nested: tuple[str, ...] = ("genres", "keywords")) -> tuple[DataFrame, DataFrame]:
+    """(rows whose nested cells can all be read, the others), as they came; null cells can be read."""
+    readable = F.lit(True)
+    for name in nested:
+        readable &= F.col(name).isNull() | nested_names(F.col(name), "null").isNotNull()
+    return movies.where(readable), movies.where(~readable)
+
+
 def ngram_counts(movies: DataFrame, text: Column, longest: int = 3) -> DataFrame:
     """(id, ngram, n)."""
     grams = movies.select("id", F.explode(word_ngrams(text, 1, longest)).alias("ngram"))
