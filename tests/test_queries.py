@@ -28,6 +28,16 @@ def test_query_equals_sql(spark, con, name):
     assert difference(df, con, sql) is None
 
 
+# Models over more titles and users, where neighbouring singular values lie closer.
+MODELS = ["single_ratings_factors", "item_latent_neighbors_50", "latent_corner_block", "graded_predictions", "graded_recommend", "graded_top_unseen"]
+
+
+@pytest.mark.parametrize("name", MODELS)
+def test_models_equal_sql_on_more_data(spark, name):
+    larger = f"{TESTDATA}/sf0.01"
+    assert difference(registry.queries()[name](spark, larger), connect(larger), registry.oracle_sql()[name]) is None
+
+
 @pytest.mark.parametrize("name", sorted(set(registry.queries()) - set(registry.oracle_sql())))
 def test_query_without_sql_is_stable(spark, name):
     first, second = (spark_rows(registry.queries()[name](spark, SMALL)) for _ in range(2))
