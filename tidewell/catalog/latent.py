@@ -16,6 +16,7 @@ from tidewell.session import materialize
 USER = 42
 GRADE = 0.92
 LATENT_TARGET = "old widget"
+PAIR_THRESHOLD = 0.3
 
 
 def graded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,6 +46,12 @@ def item_latent_neighbors(spark: SparkSession, sf_dir: str, threshold: float = 0
     return found.withColumn("r", F.round("r", 4))
 
 
+def latent_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of titles whose embeddings correlate."""
+    found = plan.correlated_pairs(_embeddings(spark, sf_dir).embeddings(), "item", F.col("vector"))
+    return found.select("left", "right", F.round("r", 4).alias("r"))
+
+
 def latent_corner(spark: SparkSession, sf_dir: str) -> DataFrame:
     corner = plan.correlation_corner(_embeddings(spark, sf_dir).embeddings(), "item", F.col("vector"))
     return corner.withColumn("r", F.round("r", 4))
@@ -149,6 +156,13 @@ def embedding_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_similar(materialize(vectors, "embedding-vectors"), 5)
 
 
+def embedding_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of embeddings that correlate; the given ones lie far apart, hence the low threshold."""
+    vector = F.col("embedding").cast("array<double>")
+    found = plan.correlated_pairs(table(spark, sf_dir, "embeddings"), "vec_id", vector, PAIR_THRESHOLD)
+    return found.withColumn("r", F.round("r", 6))
+
+
 def embedding_corner(spark: SparkSession, sf_dir: str) -> DataFrame:
     vector = F.col("embedding").cast("array<double>")
     corner = plan.correlation_corner(table(spark, sf_dir, "embeddings"), "vec_id", vector)
@@ -228,6 +242,17 @@ QUERIES = {
         SELECT a.title AS left, b.title AS right, round(list_dot_product(a.e, b.e), 4) AS r
         FROM firsts a JOIN firsts b ON a.title <= b.title""",
     ),
+    "latent_pairs": (
+        latent_pairs,
+        f"""{EMBEDDED} SELECT a.title AS left, b.title AS right, round(list_dot_product(a.e, b.e), 4) AS r
+        FROM unit a JOIN unit b ON a.title < b.title WHERE list_dot_product(a.e, b.e) >= 0.9""",
+    ),
+    "embedding_pairs": (
+        embedding_pairs,
+        f"""WITH {UNITS_SQL}, folded AS (SELECT v, min(vec_id) AS id, count(*) AS n FROM units GROUP BY v)
+        SELECT a.id AS left, b.id AS right, round(list_dot_product(a.v, b.v), 6) AS r, a.n AS n_left, b.n AS n_right
+        FROM folded a JOIN folded b ON a.id < b.id WHERE list_dot_product(a.v, b.v) >= {PAIR_THRESHOLD}""",
+    ),
     "svd_predictions": (svd_predictions, None),
     "svd_recommend": (svd_recommend, None),
     "svd_top_unseen": (svd_top_unseen, None),

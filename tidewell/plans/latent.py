@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewell.functions.scoring import dot, standardize
-from tidewell.operators import factors as fac
+from tidewell.operators import factors as fac, threshold as threshold_join
 from tidewell.operators.postings import top_rows
 from tidewell.operators.ratings import strict_matrix, zero_filled_means
 from tidewell.operators.similarity import array_vectors, pair_products
@@ -49,6 +49,15 @@ def correlation_corner(embeddings: DataFrame, key: str, vector: Column, n: int =
     )
 
 
+def correlated_pairs(embeddings: DataFrame, key: str, vector: Column, threshold: float = 0.9) -> DataFrame:
+    """(left, right, r, n_left, n_right): all pairs of different vectors that correlate at least that much, each once.
+
+    Rows of equal vectors are listed under their smallest key; ``operators.threshold.members`` tells which.
+    """
+    found = materialize(threshold_join.distinct_vectors(embeddings, key, vector), "distinct-vectors")
+    return threshold_join.correlated_pairs(found, threshold)
+
+
 def title_factors(rated: DataFrame, k: int = RANK, **settings) -> fac.Factors:
     """Item embeddings from mean ratings per (user, title)."""
     matrix = rated.groupBy(F.col("userId").alias("user"), F.col("title").alias("item")).agg(
