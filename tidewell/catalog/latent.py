@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewell.catalog.collaborative import TARGET, VECTORS_SQL, rated
 from tidewell.catalog.inputs import MOVIES_SQL, RATINGS_SQL, movies, ratings, table
 from tidewell.functions.scoring import standardize
 from tidewell.operators import factors
+from tidewell.operators.ordinals import dense_ordinals
 from tidewell.operators.similarity import array_vectors, pair_products, top_similar
 from tidewell.plans.collaborative import rating_vectors
 from tidewell.plans import latent as plan
@@ -25,8 +26,9 @@ def graded(spark: SparkSession, sf_dir: str) -> DataFrame:
     The weights tell the singular values apart, so that all factors are determined and SQL can find them.
     """
     known = rated(spark, sf_dir).groupBy("userId", "title").agg(F.avg("rating").alias("rating"))
-    places = known.select("title").distinct().withColumn("place", F.row_number().over(Window.orderBy("title")) - 1)
-    return known.join(places, "title").select("userId", "title", (F.col("rating") * F.pow(F.lit(GRADE), "place")).alias("rating"))
+    places = dense_ordinals(known.select("title").distinct(), [F.col("title")], "place")
+    grade = F.pow(F.lit(GRADE), F.col("place") - 1)
+    return known.join(places, "title").select("userId", "title", (F.col("rating") * grade).alias("rating"))
 
 
 def _graded_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,6 +131,12 @@ def single_ratings_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.round(F.get(sigma, F.col("factor")), 6).alias("sigma"))
 
 
+def line_ordinals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every distinct line of an order among all lines."""
+    keys = ["l_orderkey", "l_linenumber", "l_partkey"]
+    return dense_ordinals(table(spark, sf_dir, "lineitem").select(*keys).distinct(), [F.col(k) for k in keys])
+
+
 def title_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The item x item product matrix that the factors decompose."""
     vectors = materialize(rating_vectors(rated(spark, sf_dir)), "title-vectors")
@@ -279,6 +287,11 @@ QUERIES = {
         lengths AS (SELECT item, sqrt(sum(x * x)) AS sigma FROM matrix GROUP BY item ORDER BY sigma DESC LIMIT {plan.RANK})
         SELECT item, row_number() OVER (ORDER BY sigma DESC)::INT AS factor, 1.0::DOUBLE AS v, round(sigma, 6) AS sigma FROM lengths""",
     ),
+    "line_ordinals": (
+        line_ordinals,
+        """SELECT *, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey) AS ordinal
+        FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey FROM lineitem)""",
+    ),
     "title_products": (
         title_products,
         f"""WITH {RATINGS_SQL}, {MOVIES_SQL}, {VECTORS_SQL.format(item="title")}
