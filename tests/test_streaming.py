@@ -56,3 +56,24 @@ def test_deletion_notices_are_those_with_the_key(spark, landed, tmp_path):
 def test_limit_counts_before_notices_are_dropped(spark, landed, tmp_path):
     stored = run(spark, landed, tmp_path)
     assert [r["text"] for r in tweets.extract(stored, "ko", 2, "created_at").collect()] == ["하나"]
+
+
+def test_lines_that_do_not_parse_are_kept_apart(spark, landed, tmp_path):
+    bad = ["{oops", "[1, 2]", '"text"', '{"created_at": "7", "text": "cut']
+    (landed / "b.json").write_text("\n".join([bad[0], json.dumps(LINES[1]), "", "   ", *bad[1:], "null"]), encoding="utf-8")
+    stored = run(spark, landed, tmp_path)
+    assert stored.count() == 6 and stored.where("raw IS NULL").isEmpty()
+    refused = files.read_connector(spark, "parquet", str(tmp_path / "store-rejected"))
+    assert sorted(r["raw"] for r in refused.collect()) == sorted([*bad, "null"])
+    assert refused.where("_timestamp IS NULL").isEmpty()
+    assert tweets.extract(stored).where("text IS NULL").isEmpty()
+
+
+def test_a_batch_that_runs_again_replaces_itself(spark, landed, tmp_path):
+    store, refused = str(tmp_path / "again"), str(tmp_path / "refused")
+    lines = spark.read.text(str(landed)).withColumnRenamed("value", "raw").union(spark.createDataFrame([("{",)], "raw string"))
+    for number in (0, 1, 1, 0):
+        tweets.write_batch(lines, number, store, refused, "s")
+    assert spark.read.parquet(store).count() == 10 and spark.read.parquet(refused).count() == 2
+    tweets.write_batch(lines, 0, store, refused, "another checkpoint")
+    assert spark.read.parquet(store).count() == 15
