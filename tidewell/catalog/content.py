@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewell.catalog.inputs import DETAILS_SQL, movie_details, movies, table
 from tidewell.functions.text import nested_names
+from tidewell.operators.quantiles import exact_quantiles
 from tidewell.plans import content as plan
 from tidewell.session import materialize
 
 TARGET = 17
+SHARES = [0.05, 0.25, 0.5, 0.9, 0.99]
 
 
 def weighted_rating(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +20,12 @@ def weighted_rating(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.round("score", 6).alias("score"))
 
 
+def price_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles of a column that has nearly as many distinct values as rows."""
+    found = exact_quantiles(table(spark, sf_dir, "orders"), F.col("o_totalprice"), SHARES)
+    return spark.createDataFrame(list(zip(SHARES, found)), "share double, price double").withColumn("price", F.round("price", 4))
+
+
 def flat_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
     details = movie_details(spark, sf_dir)
     return details.select("id", nested_names(F.col("genres")).alias("genres"),
@@ -76,6 +84,11 @@ QUERIES = {
         f"WITH {DETAILS_SQL}, {SCORED_SQL.format(share=0.9)} "
         "SELECT id, title, vote_count, round(vote_average, 6) AS vote_average, score FROM scored",
     ),
+    "price_quantiles": (
+        price_quantiles,
+        f"""SELECT unnest({SHARES})::DOUBLE AS share, round(unnest(quantile_cont(o_totalprice::DOUBLE, {SHARES})), 4) AS price
+        FROM orders""",
+    ),
     "nested_names": (
         flat_genres,
         f"WITH {DETAILS_SQL} SELECT id, genres, title AS keywords FROM details",
