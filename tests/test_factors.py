@@ -184,6 +184,16 @@ def test_best_unseen_of_many_users(spark, dense, known, model, predictions, monk
         assert [i for _, i in got] == want
 
 
+@pytest.mark.parametrize("scale", [1, 1e12])
+def test_first_columns_with_ties(scale):
+    steps = np.random.default_rng(2).integers(-3, 4, (40, 30)) * float(scale)
+    steps[3, 5:] = -np.inf
+    for n in (1, 4, 30):
+        for row, found in zip(steps, latent._first(steps, n).tolist()):
+            want = sorted(range(30), key=lambda i: (-row[i], i))[:n]
+            assert [i for i in found if np.isfinite(row[i])] == [i for i in want if np.isfinite(row[i])]
+
+
 def test_unknown_title_is_an_error(spark, known, movies):
     fitted = latent.title_factors(collaborative.rated_movies(known, movies), K)
     with pytest.raises(KeyError):

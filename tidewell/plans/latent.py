@@ -135,18 +135,20 @@ def top_unseen(model: RatingModel, ratings: DataFrame, users: DataFrame, n: int)
 
     def best(key, left, right):
         users, seen, items, scores = _tile_scores(left, right)
-        place = {item: i for i, item in enumerate(items)}
-        row = {user: i for i, user in enumerate(users)}
-        steps = np.rint(scores * 10**PREDICTION_DIGITS)
-        for user, item in zip(seen["user"], seen["item"]):
-            if user in row and item in place:
-                steps[row[user], place[item]] = -np.inf
-        kept = []
-        for i, user in enumerate(users):
-            order = np.lexsort((items, -steps[i]))[:n]
-            order = order[np.isfinite(steps[i][order])]
-            kept.append(pd.DataFrame({"userId": user, "movieId": items[order], "prediction": steps[i][order] / 10.0**PREDICTION_DIGITS}))
-        return pd.concat(kept) if kept else pd.DataFrame({"userId": [], "movieId": [], "prediction": []})
+        by_user, by_item = np.argsort(users), np.argsort(items)
+        users, items = users[by_user], items[by_item]
+        steps = np.rint(scores[by_user][:, by_item] * 10**PREDICTION_DIGITS)
+        if not steps.size:
+            return pd.DataFrame({"userId": users[:0], "movieId": items[:0], "prediction": np.zeros(0)})
+        row, column = (np.searchsorted(side, seen[name].to_numpy()) for side, name in ((users, "user"), (items, "item")))
+        there = (row < len(users)) & (column < len(items))
+        row, column, known = row[there], column[there], seen[there]
+        here = (users[row] == known["user"].to_numpy()) & (items[column] == known["item"].to_numpy())
+        steps[row[here], column[here]] = -np.inf
+        top = _first(steps, min(n, len(items)))
+        found = np.take_along_axis(steps, top, 1)
+        row, place = np.nonzero(np.isfinite(found))
+        return pd.DataFrame({"userId": users[row], "movieId": items[top[row, place]], "prediction": found[row, place] / 10.0**PREDICTION_DIGITS})
 
     kinds = {f.name: f.dataType.simpleString() for f in (*model.users.schema, *model.items.schema)}
     offers = _tile_pairs(model, users, ratings).applyInPandas(
@@ -155,6 +157,16 @@ def top_unseen(model: RatingModel, ratings: DataFrame, users: DataFrame, n: int)
     return top_rows(offers, ["userId"], [F.desc("prediction"), F.col("movieId")], n)
 
 
+def _first(steps: np.ndarray, n: int) -> np.ndarray:
+    """The columns of the n largest whole numbers of each row, ties by column."""
+    width = steps.shape[1]
+    if np.abs(steps, where=np.isfinite(steps), out=np.zeros_like(steps)).max() * width > 2**52:
+        return np.argsort(-steps, axis=1, kind="stable")[:, :n]
+    order = np.arange(width) - steps * width
+    some = np.argpartition(order, n - 1, axis=1)[:, :n]
+    return np.take_along_axis(some, np.argsort(np.take_along_axis(order, some, 1), axis=1), 1)
+
+
 def _tile_pairs(model: RatingModel, users: DataFrame, ratings: DataFrame | None):
     """Grouped (profiles and ratings, factors) by tile pair."""
     wanted = model.users.join(users.select(F.col("userId").alias("user")).distinct(), "user", "left_semi")
