@@ -3,6 +3,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
@@ -50,6 +51,27 @@ def test_forgotten_words_are_learned_again(monkeypatch):
         equal(text)
 
 
+def test_what_is_kept_is_bounded_in_bytes(monkeypatch):
+    own = bpe.Codec(queries.BYTE_BPE)
+    monkeypatch.setattr(bpe, "REMEMBERED", 100_000)
+    for i in range(60):
+        own.encode_batch([" ".join(f"w{i}x{j}" for j in range(100)) + " " + "长" * 5000 + str(i)])
+        assert own.held + bpe.PAIR_BYTES * len(own.fits) < 200_000 and max(map(len, own.known)) <= bpe.LONGEST
+        assert own.held == sum(bpe.WORD_BYTES + len(w) + len(ids) for w, ids in own.known.items())
+    own.forget()
+    assert not own.known and not own.fits and not own.held
+
+
+def test_tasks_keep_nothing(spark):
+    bpe.encode_digests(spark.createDataFrame([(1, "some words")], "doc_id long, text string"), queries.BYTE_BPE).collect()
+
+    def held(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"n": [len(bpe.codec(queries.BYTE_BPE).known)]})
+
+    assert [r["n"] for r in spark.range(1).coalesce(1).mapInArrow(held, "n long").collect()] == [0]
+
+
 def test_ids_that_are_no_text():
     assert CODEC.decode(np.array([], np.uint32)) == ""
     half = LIBRARY.encode("🙂", add_special_tokens=False).ids[:1]

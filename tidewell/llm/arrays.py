@@ -173,18 +173,24 @@ def list_array(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.
 
 
 def per_slice(
-    make: Callable[[], Callable[[pa.RecordBatch, pa.Array], pa.RecordBatch | None]], text: str
+    make: Callable[[], Callable[[pa.RecordBatch, pa.Array], pa.RecordBatch | None]], text: str,
+    release: Callable[[], None] | None = None,
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A function for ``mapInArrow``: calls ``make()`` once per task, its result once per slice of each batch."""
+    """A function for ``mapInArrow``: calls ``make()`` once per task, its result once per slice of each batch, and
+    ``release()`` when the task ends: workers live on, and what they keep counts against the executor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in batches:
-            texts = strings(batch.column(text))
-            for lo, hi in slices(texts):
-                made = work(batch.slice(lo, hi - lo), texts.slice(lo, hi - lo))
-                if made is not None:
-                    yield made
+        try:
+            for batch in batches:
+                texts = strings(batch.column(text))
+                for lo, hi in slices(texts):
+                    made = work(batch.slice(lo, hi - lo), texts.slice(lo, hi - lo))
+                    if made is not None:
+                        yield made
+        finally:
+            if release is not None:
+                release()
 
     return run
 

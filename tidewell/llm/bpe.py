@@ -30,7 +30,9 @@ from tokenizers import Tokenizer
 
 from tidewell.llm.arrays import per_slice
 
-REMEMBERED = 500_000  # words kept by a process; they are forgotten together and learned again
+REMEMBERED = 64 << 20  # bytes of words and pairs kept during a task; they are forgotten together and learned again
+LONGEST = 64  # characters of a word that is kept beyond its slice
+WORD_BYTES, PAIR_BYTES = 260, 130  # what an entry takes beside its text and ids
 _LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
 # Texts of these characters only hold no contraction, and their letters, digits and spaces are those of the pattern.
 PLAIN = re.compile(rf"[ -&(-~\n{_LETTER}]*")
@@ -73,9 +75,14 @@ class Codec:
         self.spelling = np.frombuffer(b"".join(spelled), np.uint8)
         self.splitter = Tokenizer.from_file(path).pre_tokenizer
         self.sizes = self.lengths.tolist()
+        self.border = lru_cache(1 << 17)(self._border)
+        self.forget()
+
+    def forget(self) -> None:
         self.known: dict[str, bytes] = {}
         self.fits: dict[int, bool] = {}
-        self.border = lru_cache(1 << 17)(self._border)
+        self.held = 0
+        self.border.cache_clear()
 
     def _border(self, token: int, right: bool) -> tuple[tuple[int, int, float], ...]:
         """Tokens that stand at the right (left) end of ``token`` while it is built: (token, made at, used at)."""
@@ -139,6 +146,7 @@ class Codec:
         spelled = sorted((word.encode(), word) for word in words)
         for (_, word), ids in zip(spelled, self.encode_words([w for w, _ in spelled])):
             self.known[word] = ids
+            self.held += WORD_BYTES + len(word) + len(ids)
 
     def words(self, text: str) -> list[str]:
         """The words that the pre-tokenizer makes of a text."""
@@ -166,20 +174,23 @@ class Codec:
             else:
                 cut.append([self.words(text)])
         seen = set().union(*(part for parts in cut for part in parts if isinstance(part, list)))
+        if self.held + PAIR_BYTES * len(self.fits) > REMEMBERED:
+            self.forget()
         known = self.known
         fresh = [word for word in seen if word not in known]
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self.known = {}
-            fresh = list(seen)
         self.learn(fresh)
-        get = self.known.__getitem__
-        return [
+        get = known.__getitem__
+        coded = [
             b"".join([
                 b"".join(map(get, part)) if isinstance(part, list) else array("I", [self.special[part]]).tobytes()
                 for part in parts
             ])
             for parts in cut
         ]
+        for word in fresh:
+            if len(word) > LONGEST:
+                self.held -= WORD_BYTES + len(word) + len(known.pop(word))
+        return coded
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; bytes that are no UTF-8 become the replacement character."""
@@ -228,4 +239,4 @@ def _coded(docs, path, key, text, fields, shape, types, names):
         return work
 
     source = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    return source.mapInArrow(per_slice(make, "text"), f"id long, n_tokens long, {fields}").withColumnRenamed("id", key)
+    return source.mapInArrow(per_slice(make, "text", lambda: codec(path).forget()), f"id long, n_tokens long, {fields}").withColumnRenamed("id", key)
