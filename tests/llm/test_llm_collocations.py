@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -109,15 +110,30 @@ def test_words_that_share_a_hash_are_hashed_again(spark, monkeypatch):
 
 
 def test_many_distinct_words():
-    import pyarrow as pa
-
     text = " ".join(f"w{i}" for i in range(70_000)) + " w1 w2 w3 w4"
-    words, counts, ids, times = collocations._pointers(pa.array([text, "w1 w2"], pa.large_string()))
-    assert len(words) == 70_000 and counts.sum() == 70_006 and times.sum() == 70_004
+    words, number, joined = collocations._numbered(pa.array([text, "w1 w2"], pa.large_string()))
+    ids, times = collocations._folded(number, joined)
+    assert len(words) == 70_000 and len(number) == 70_006 and times.sum() == 70_004
     at = {w: i + 1 for i, w in enumerate(words)}
     got = {tuple(row): n for row, n in zip(ids.tolist(), times.tolist())}
-    assert got[(at[b"w1"], at[b"w2"], at[b"w3"], at[b"w4"])] == 1 or got[(at[b"w1"], at[b"w2"], at[b"w3"], at[b"w4"])] == 2
-    assert got[(at[b"w1"], at[b"w2"], 0, 0)] == 1
+    assert got[(at[b"w1"], at[b"w2"], at[b"w3"], at[b"w4"])] == 2 and got[(at[b"w1"], at[b"w2"], 0, 0)] == 1
+
+
+def test_packed_pointers_are_read_again():
+    rng = np.random.default_rng(3)
+    for n, m in ((0, 0), (1, 1), (300, 5), (70_000, 900)):
+        hashes = np.unique(rng.integers(1, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+        ids = rng.integers(0, len(hashes) + 1, (m, 4)).astype(np.int32)
+        counts = rng.integers(1, 70_000, m)
+        every, back, times = collocations._unpack([collocations._pack(hashes, ids, counts)])
+        assert (every[1:] == hashes).all() and (back == ids).all() and (times == counts).all()
+
+
+def test_languages_have_their_own_buckets(spark):
+    words = spark.createDataFrame([("en", 250), ("fr", 100), ("de", 60), ("es", 50), ("", 101)], "lang string, n long")
+    shares = collocations._shares(words, 100)
+    taken = sorted(first + i for first, n in shares.values() for i in range(n))
+    assert taken == list(range(len(taken))) and {k: n for k, (_, n) in shares.items()} in ({"en": 3, "": 2}, {"en": 3, "": 3})
 
 
 def test_scores_beyond_64_bits(spark):

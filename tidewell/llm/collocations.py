@@ -3,7 +3,8 @@
 * Words. A slice of texts numbers its distinct words; beyond the slice a word is a seeded 64-bit hash of language and word.
   The dictionary is kept: if two words ever shared a hash, all is done again with another seed.
 * Routing. Each place of a piece is a pointer to the up to ``DEPTH`` words that follow. Equal pointers of a slice are folded,
-  and pointers are dealt to buckets by their first two words, so that all places of a phrase meet.
+  and pointers are dealt to buckets by their first two words, so that all places of a phrase meet. A language has buckets of its
+  own, as many as its words need.
 * Sorting. A bucket is sorted by multikey quicksort: pointers are parted into less, equal and greater by the word at the current
   depth, equal ones go on at the next depth, down to ``DEPTH``. The size of an equal part is the number of occurrences of its
   phrase. A part below the smallest frequency is abandoned at once. All parts of a round are parted together.
@@ -31,23 +32,27 @@ from tidewell.session import discard, materialize
 DEPTH = 4
 LEAST = 30
 TOP = 2000
-CAPACITY = 1 << 20
-LIMIT = 4 * CAPACITY
-SLICE = 1 << 21
-WORD_BYTES = 6
+CAPACITY = 3 << 19
+LIMIT = 3 * CAPACITY
+SLICE = 6 << 20
 BREAKS = np.zeros(256, bool)
 BREAKS[list(b".,;:!?\n\x0b\x0c\r")] = True
 INSIDE = ~BREAKS
 INSIDE[[9, 32]] = False
 _HEAD = struct.Struct("<IIBB")
-ROUTED = "hash long, lang string, word string, n long, bucket long, size long, data binary"
+ROUTED = "bucket long, size long, data binary"
 
 
 def _pack(hashes: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> bytes:
-    """Pointers of one bucket: the hashes of their words, the numbers of the words (0: none) and how often each is there."""
+    """Pointers of one bucket: the ascending hashes of their words, the numbers of the words (0: none) by depth, and how
+    often each is there. Of hashes and first words the differences are stored, hashes by byte."""
     kinds = [np.min_scalar_type(len(hashes)), np.min_scalar_type(int(counts.max(initial=0)))]
+    columns = ids.T.astype(kinds[0])
+    columns[0, 1:] = np.diff(columns[0])
     head = _HEAD.pack(len(hashes), len(ids), kinds[0].itemsize, kinds[1].itemsize)
-    return head + hashes.tobytes() + ids.astype(kinds[0]).tobytes() + counts.astype(kinds[1]).tobytes()
+    steps = np.diff(hashes, prepend=np.uint64(0))
+    body = steps.view(np.uint8).reshape(-1, 8).T.tobytes() + columns.tobytes() + counts.astype(kinds[1]).tobytes()
+    return head + pa.compress(body, "zstd", asbytes=True)
 
 
 def _unpack(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -55,47 +60,58 @@ def _unpack(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     parts = []
     for blob in blobs:
         words, n, id_size, count_size = _HEAD.unpack_from(blob)
-        at = _HEAD.size
-        hashes = np.frombuffer(blob, np.uint64, words, at)
-        ids = np.frombuffer(blob, f"u{id_size}", n * DEPTH, at + 8 * words).reshape(n, DEPTH)
-        counts = np.frombuffer(blob, f"u{count_size}", n, at + 8 * words + id_size * n * DEPTH)
-        parts.append((hashes, ids, counts))
+        body = pa.decompress(blob[_HEAD.size :], 8 * words + (id_size * DEPTH + count_size) * n, "zstd")
+        steps = np.frombuffer(body, np.uint8, 8 * words).reshape(8, words).T.copy().view(np.uint64).ravel()
+        hashes = np.cumsum(steps, dtype=np.uint64)
+        columns = np.frombuffer(body, f"u{id_size}", n * DEPTH, 8 * words).reshape(DEPTH, n).copy()
+        np.cumsum(columns[0], out=columns[0], dtype=columns.dtype)
+        counts = np.frombuffer(body, f"u{count_size}", n, 8 * words + id_size * n * DEPTH).copy()
+        parts.append((hashes, columns.T, counts))
     every, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
     offsets = np.cumsum([0] + [len(p[0]) for p in parts])
-    moved = [np.append(0, place[a:b] + 1)[p[1]] for p, a, b in zip(parts, offsets[:-1], offsets[1:])]
-    ids = np.concatenate(moved).astype(np.int32)
-    return np.append(np.uint64(0), every), ids, np.concatenate([p[2].astype(np.int64) for p in parts])
+    ids = np.empty((sum(len(p[1]) for p in parts), DEPTH), np.int32)
+    at = 0
+    for (_, own, _), a, b in zip(parts, offsets[:-1], offsets[1:]):
+        ids[at : at + len(own)] = np.append(0, place[a:b] + 1).astype(np.int32)[own]
+        at += len(own)
+    return np.append(np.uint64(0), every), ids, np.concatenate([p[2] for p in parts])
 
 
-def _pointers(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct words, their counts, and the folded pointers (word number + 1 or 0) with counts."""
+def _numbered(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Distinct words, the number + 1 of every word in order, and whether the next word stands in the same piece."""
     data, bounds = flat(texts)
     data = FOLD[data]
     starts, ends, first = find_words(data, bounds, INSIDE)
+    if not len(starts):
+        return [], np.zeros(0, np.int32), np.zeros(0, bool)
     offsets = np.append(0, np.cumsum(ends - starts))
     words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[INSIDE[data]])])
     coded = words.dictionary_encode()
-    number = coded.indices.to_numpy().astype(np.int64) + 1
-    size = len(coded.dictionary) + 1
-    counts = np.bincount(number, minlength=size)[1:]
-    piece = np.cumsum(BREAKS[data])[starts] if len(starts) else starts
+    piece = np.cumsum(BREAKS[data], dtype=np.int32)[starts]
     new = np.zeros(len(starts) + 1, bool)
     new[first] = True
-    joined = np.append((piece[1:] == piece[:-1]) & ~new[1:-1], False) if len(starts) else np.zeros(0, bool)
+    joined = np.append((piece[1:] == piece[:-1]) & ~new[1:-1], False)
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy() + np.int32(1), joined
+
+
+def _folded(number: np.ndarray, joined: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pointers of two and more words (numbers, 0: none), sorted, with counts. A word of number 0 ends a pointer."""
     columns = [number]
     for _ in range(DEPTH - 1):
-        columns.append(np.where(joined, np.append(columns[-1][1:], 0), 0))
-    columns = [c[joined] for c in columns]
-    if size < 1 << 16:
-        key = columns[0]
+        columns.append(np.where(joined & (columns[0] > 0), np.append(columns[-1][1:], np.int32(0)), np.int32(0)))
+    some = columns[1] > 0
+    columns = [c[some] for c in columns]
+    if number.max(initial=0) < 1 << 16:
+        key = columns[0].astype(np.uint64)
         for column in columns[1:]:
-            key = key << 16 | column
-        key, times = np.unique(key.view(np.uint64), return_counts=True)
-        shifts = np.arange(DEPTH - 1, -1, -1, dtype=np.uint64) * np.uint64(16)
-        ids = (key[:, None] >> shifts & np.uint64(0xFFFF)).astype(np.int64)
-    else:
-        ids, times = np.unique(np.column_stack(columns), axis=0, return_counts=True)
-    return coded.dictionary.to_pylist(), counts, ids, times
+            key = key << np.uint64(16) | column.astype(np.uint64)
+        key, times = np.unique(key, return_counts=True)
+        return np.column_stack([(key >> np.uint64(16 * k) & np.uint64(0xFFFF)).astype(np.int32) for k in range(DEPTH - 1, -1, -1)]), times
+    halves = [columns[k].astype(np.uint64) << np.uint64(32) | columns[k + 1].astype(np.uint64) for k in (0, 2)]
+    (front, at_front), (back, at_back) = (np.unique(half, return_inverse=True) for half in halves)
+    key, times = np.unique(at_front * max(1, len(back)) + at_back, return_counts=True)
+    pair = (front[key // max(1, len(back))], back[key % max(1, len(back))])
+    return np.column_stack([x for p in pair for x in ((p >> np.uint64(32)).astype(np.int32), p.astype(np.uint32).astype(np.int32))]), times
 
 
 def _dealt(hashes: np.ndarray, ids: np.ndarray, counts: np.ndarray, words: int, buckets: int):
@@ -134,8 +150,8 @@ def _hashes(words: list[bytes], lang: str, seed: int) -> np.ndarray:
     return np.maximum(np.fromiter((xxhash.xxh64_intdigest(w, own) for w in words), np.uint64, len(words)), np.uint64(1))
 
 
-def _route(docs: DataFrame, text: str, lang: str, buckets: int, seed: int) -> DataFrame:
-    """Per slice and language a row for each distinct word and one for each bucket."""
+def _each_slice(docs: DataFrame, text: str, lang: str, seed: int, work, schema: str) -> DataFrame:
+    """``work(language, words, hashes, numbers, joined)`` for every slice of the texts of one language in a batch."""
 
     def run(batches):
         for batch in batches:
@@ -143,24 +159,55 @@ def _route(docs: DataFrame, text: str, lang: str, buckets: int, seed: int) -> Da
             for name in pc.unique(langs).to_pylist():
                 own = texts.filter(pc.equal(langs, name))
                 for lo, hi in slices(own, SLICE):
-                    words, counts, ids, times = _pointers(own.slice(lo, hi - lo))
-                    hashes = np.append(np.uint64(0), _hashes(words, name, seed))
-                    bucket, sizes, packed = _dealt(hashes, ids, times, 2, buckets)
-                    n, m = len(words), len(packed)
-                    none = [None]
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(np.append(hashes[1:].view(np.int64), np.zeros(m, np.int64)), mask=np.arange(n + m) >= n),
-                        pa.array([name] * n + none * m, pa.string()),
-                        pa.array(words + none * m, pa.binary()).cast(pa.string()),
-                        pa.array(np.append(counts, np.zeros(m, np.int64)), mask=np.arange(n + m) >= n),
-                        pa.array(np.append(np.zeros(n, np.int64), bucket), mask=np.arange(n + m) < n),
-                        pa.array(np.append(np.zeros(n, np.int64), sizes), mask=np.arange(n + m) < n),
-                        pa.array(none * n + packed, pa.binary()),
-                    ], names=["hash", "lang", "word", "n", "bucket", "size", "data"])
+                    words, number, joined = _numbered(own.slice(lo, hi - lo))
+                    yield work(name, words, _hashes(words, name, seed), number, joined)
 
     rows = docs.select(F.col(f"`{text}`").cast("string").alias("text"),
                        F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"))
-    return rows.mapInArrow(run, ROUTED)
+    return rows.mapInArrow(run, schema)
+
+
+def _dictionary(docs: DataFrame, text: str, lang: str, seed: int) -> DataFrame:
+    """(hash, lang, word, n) of all words."""
+
+    def counted(name, words, hashes, number, joined):
+        counts = np.bincount(number, minlength=len(words) + 1)[1:]
+        columns = [pa.array(hashes.view(np.int64)), pa.array([name] * len(words), pa.string()),
+                   pa.array(words, pa.binary()).cast(pa.string()), pa.array(counts)]
+        return pa.RecordBatch.from_arrays(columns, names=["hash", "lang", "word", "n"])
+
+    rows = _each_slice(docs, text, lang, seed, counted, "hash long, lang string, word string, n long")
+    return rows.groupBy("hash", "lang", "word").agg(F.sum("n").alias("n"))
+
+
+def _route(docs: DataFrame, text: str, lang: str, seed: int, buckets: dict[str, tuple[int, int]]) -> DataFrame:
+    """(bucket, size, data): the pointers of each slice. ``buckets`` has first bucket and number of a language, or of "" for others."""
+
+    def dealt(name, words, hashes, number, joined):
+        order = np.argsort(hashes)
+        rank = np.empty(len(order) + 1, np.int32)
+        rank[0], rank[order + 1] = 0, np.arange(1, len(order) + 1)
+        ids, times = _folded(rank[number], joined)
+        first, n = buckets.get(name, buckets[""])
+        bucket, sizes, rows = _dealt(np.append(np.uint64(0), hashes[order]), ids, times, 2, n)
+        return _batch(bucket + first, sizes, rows)
+
+    return _each_slice(docs, text, lang, seed, dealt, ROUTED)
+
+
+def _shares(words: DataFrame, capacity: int) -> dict[str, tuple[int, int]]:
+    """Buckets for each language of more than ``capacity`` words, of which there are fewer than all words / capacity, and for the rest."""
+    sizes = words.groupBy("lang").agg(F.sum("n").alias("n"))
+    is_large = F.col("n") > capacity
+    large = {row["lang"]: row["n"] // capacity + 1 for row in sizes.where(is_large).collect()}
+    large[""] = (sizes.where(~is_large).agg(F.sum("n")).first()[0] or 0) // capacity + 1
+    ends = np.cumsum(list(large.values())).tolist()
+    return {name: (end - n, n) for (name, n), end in zip(large.items(), ends)}
+
+
+def _batch(bucket: np.ndarray, sizes: np.ndarray, rows: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int64()), pa.array(sizes, pa.int64()), pa.array(rows, pa.binary())],
+                                      ["bucket", "size", "data"])
 
 
 def equal_parts(keys: np.ndarray, weights: np.ndarray, least: list[int]):
@@ -169,16 +216,17 @@ def equal_parts(keys: np.ndarray, weights: np.ndarray, least: list[int]):
     Yields (length, a row of each part, weight of each part) of the equal parts whose weight is ``least[length - 1]`` or more;
     lighter parts are not followed.
     """
-    pointer = np.arange(len(keys))
+    pointer = np.arange(len(keys), dtype=np.int32)  # a bucket has few enough
     size = np.array([len(keys)] if len(keys) else [], np.int64)
     depth = np.zeros(len(size), np.int64)
     floor = np.array(least)
     while len(size):
         start = np.cumsum(size) - size
         pivot = keys[pointer[start + size // 2], depth]
-        part = np.repeat(np.arange(len(size)), size)
+        part = np.repeat(np.arange(len(size), dtype=np.int32), size)
         word, middle = keys[pointer, depth[part]], pivot[part]
         side = (word >= middle).astype(np.int8) + (word > middle)
+        del word, middle
         count = np.bincount(part * 3 + side, minlength=3 * len(size))
         begin = np.cumsum(count) - count
         moved = np.empty_like(pointer)
@@ -188,7 +236,7 @@ def equal_parts(keys: np.ndarray, weights: np.ndarray, least: list[int]):
             before = np.cumsum(count[k::3]) - count[k::3]
             moved[begin[owner * 3 + k] + np.arange(len(here)) - before[owner]] = pointer[here]
         some = np.flatnonzero(count)
-        weight = np.add.reduceat(weights[moved], begin[some])
+        weight = np.add.reduceat(weights[moved], begin[some], dtype=np.int64)
         of, side = some // 3, some % 3
         level = depth[of]
         keep = weight >= floor[level]
@@ -229,10 +277,9 @@ def _deeper(routed: DataFrame, words: int, buckets: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for blob in batch.column("data").to_pylist():
-                bucket, sizes, rows = _dealt(*_unpack([blob]), words, buckets)
-                yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(sizes), pa.array(rows, pa.binary())], ["bucket", "size", "data"])
+                yield _batch(*_dealt(*_unpack([blob]), words, buckets))
 
-    return routed.select("data").mapInArrow(run, "bucket long, size long, data binary")
+    return routed.select("data").mapInArrow(run, ROUTED)
 
 
 def _added_up(routed: DataFrame) -> DataFrame:
@@ -249,8 +296,7 @@ def _added_up(routed: DataFrame) -> DataFrame:
 
 def count_phrases(routed: DataFrame, least: int = LEAST, capacity: int = CAPACITY, limit: int = LIMIT) -> DataFrame:
     """(p, f): the hashes and occurrences of all phrases of 2 to DEPTH words found ``least`` times."""
-    rows = routed.where("data is not null").select("bucket", "size", "data")
-    parts = []
+    rows, parts = routed, []
     for words in (2, 3):
         sizes = rows.groupBy("bucket").agg(F.sum("size").alias("pointers"))
         large = materialize(sizes.where(F.col("pointers") > limit), "large-buckets")
@@ -307,17 +353,14 @@ def collocations(
 ) -> DataFrame:
     """The first ``top`` phrases of each language: (lang, rank, phrase, a, l, r, n, score), score = 2,000,000 a / (l + r)
     at its lowest cut, rounded down."""
-    size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`").cast("string")))).first()[0] or 0
     seed = 0
     while True:
-        routed = materialize(_route(docs, text, lang, size // (WORD_BYTES * capacity) + 1, seed), "routed")
-        words = routed.where("data is null").groupBy("hash", "lang", "word").agg(F.sum("n").alias("n"))
-        words = materialize(words, "phrase-words")
+        words = materialize(_dictionary(docs, text, lang, seed), "phrase-words")
         if words.groupBy("hash").count().where("count > 1").isEmpty():
             break
-        discard(routed)
         seed += 1
     frequent = words.where(F.col("n") >= least)
+    routed = materialize(_route(docs, text, lang, seed, _shares(words, capacity)), "routed")
     phrases = materialize(count_phrases(routed, least, capacity, limit), "phrase-counts")
     discard(routed)
     judged = materialize(_judged(frequent, phrases), "phrase-scores")
