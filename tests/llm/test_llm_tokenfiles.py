@@ -3,12 +3,13 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from conftest import TESTDATA
-from llm_cases import documents, empty, rows
+from llm_cases import documents, empty, prose, rows
 from tidewell.llm import queries, tokenfiles as T
 from tidewell.session import scratch_path
 
@@ -32,15 +33,38 @@ def test_bodies_round_trip_and_outliers_cost_little(n):
     assert n < 5000 or len(body) < 1.2 * n
 
 
-PIECES = st.sampled_from(["a", "The", " ", "\n", "\t", "<|endoftext|>", "'s", "é", "é", "́", "日本", "\x1c", "\x85", "1", "!!", "Σ", "İ", "\r"])
+PIECES = st.sampled_from(["a", "The", " ", "\n", "\t", "<|endoftext|>", "'s", "é", "é", "́", "日本", "\x1c", "\x85", "1", "!!", "Σ", "İ", "\r", "Ⱥ", "×", "ſ", "Ǆ", "ʰ", "zebra", "x" * 70])
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.lists(PIECES, max_size=30))
 def test_encoder_equals_the_library(pieces):
     text = "".join(pieces)
-    got = T.encoder(queries.WORD_BPE).encode_batch([text], 2)[0]
-    assert np.frombuffer(got, "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids + [2]
+    got, _ = T.encoder(queries.WORD_BPE).encode(pa.array(["", text, "so"], pa.large_string()), 2)
+    own = [LIBRARY.encode(t, add_special_tokens=False).ids + [2] for t in ("", text, "so")]
+    assert got.tolist() == sum(own, [])
+
+
+def batches(texts):
+    for text in texts:
+        ids, _ = T.encoder(queries.WORD_BPE).encode(pa.array([text], pa.large_string()), 2)
+        assert ids.tolist() == LIBRARY.encode(text, add_special_tokens=False).ids + [2]
+
+
+def test_words_of_one_hash_are_told_apart(monkeypatch):
+    T.encoder(queries.WORD_BPE).forget()
+    monkeypatch.setattr(T, "word_hashes", lambda data, starts, ends, fold: (ends - starts).astype(np.uint64))
+    batches(["cat dog cow", "dog", "cow it is at", "cat. dog! 12"])
+    T.encoder(queries.WORD_BPE).forget()
+
+
+def test_memory_is_bounded_in_bytes(monkeypatch):
+    own = T.encoder(queries.WORD_BPE)
+    own.forget()
+    monkeypatch.setattr(T, "REMEMBERED_BYTES", 3000)
+    batches([prose(i, 60) + " " + "日本語" * 400 + "x" * 500 for i in range(12)])
+    assert own.spelled.nbytes + own.ids.nbytes + 24 * len(own.hashes) < 2 * 3000 and np.diff(own.spelled_at).max() <= T.LONGEST
+    own.forget()
 
 
 def expected(texts):
@@ -72,3 +96,12 @@ def test_empty_table(spark):
     out = scratch_path(spark, "files")
     T.write_token_files(empty(spark), queries.WORD_BPE, out)
     assert T.document_checks(T.read_runs(spark, out)).count() == 0
+
+
+def test_an_id_of_very_many_rows(spark):
+    texts = [(7, prose(i, 5)) for i in range(300)] + [(None, prose(i, 3)) for i in range(200)] + [(i, "x") for i in range(20)]
+    out = scratch_path(spark, "files")
+    T.write_token_files(spark.createDataFrame(texts, "doc_id long, text string").repartition(5), queries.WORD_BPE, out)
+    runs = T.read_runs(spark, out)
+    assert sorted(map(tuple, T.document_checks(runs).collect()), key=lambda r: r[1]) == expected(texts)
+    assert runs.where("array_contains(ids, 7)").select("file").distinct().count() > 1

@@ -22,19 +22,21 @@ from __future__ import annotations
 
 import re
 import zlib
-from array import array
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from tidewell.llm.arrays import slices, strings
+from tidewell.llm.arrays import flat, slices, strings, word_hashes
 
 BLOCK = 1024
 RUN_IDS = 1 << 16
 PERCENTILE = 0.95
-REMEMBERED = 500_000
+REMEMBERED_BYTES = 32 << 20
+LONGEST = 64
 HEAD = np.dtype([("low", "<u4"), ("count", "<u2"), ("width", "u1"), ("exceptions", "<u2")])
 
 
@@ -80,18 +82,32 @@ def unpack(body: bytes, starts) -> np.ndarray:
     return np.concatenate([np.zeros(0, "<u4"), *(unpack_block(body, int(s)) for s in starts)])
 
 
-_SMALL = "a-zß-öø-ɏ"
-# Lower-cased texts of these characters have no contraction, and their letters and digits are those of the pattern.
-PLAIN = re.compile(r"[ -&(-~\nÀ-ÖØ-öø-ɏ]*")
-PLAIN_WORD = re.compile(rf"[{_SMALL}]+|[0-9]|[^\s{_SMALL}0-9]+")
+# How the bytes of a text split into words: blank, letter, digit, other. A digit is a word by itself.
+_BLANK, _LETTER, _DIGIT, _OTHER = range(4)
+_PLAIN_CLASS = np.full(256, _OTHER, np.uint8)
+_PLAIN_CLASS[[10, 32]] = _BLANK
+_PLAIN_CLASS[48:58] = _DIGIT
+for _range in (range(65, 91), range(97, 123), range(128, 256)):
+    _PLAIN_CLASS[_range.start:_range.stop] = _LETTER
+# Texts with other bytes are cut at blanks only: control characters, apostrophes (contractions), and beyond ASCII
+# all but the letters from U+00C0 to U+024F.
+_ODD_BYTE = np.zeros(256, bool)
+_ODD_BYTE[:32] = _ODD_BYTE[0xCA:] = _ODD_BYTE[0xC0:0xC3] = True
+_ODD_BYTE[[39, 127]] = True
+_ODD_BYTE[10] = False
+# Two signs among these letters, and three letters whose lower case lies elsewhere.
+_ODD_PAIRS = [b"\xc3\x97", b"\xc3\xb7", b"\xc4\xb0", b"\xc8\xba", b"\xc8\xbe"]
+# Words that are one token group each when joined by blanks.
+LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ȹȻ-Ƚȿ-ɏ]+")
 
 
 class WordEncoder:
     """Ids of texts by the tokenizers library; each distinct word is encoded once and remembered.
 
     Right for vocabularies that lower the case, drop white space and mark the end of each word, as blanks
-    then never share a token with a word. New words are encoded as one text; the end marks
-    tell them apart again.
+    then never share a token with a word. Words are found, hashed and looked up as arrays over the bytes of
+    many texts; a hit is compared byte by byte. New words are encoded as one text; the end marks
+    tell them apart again. What is remembered is bounded in bytes, and no word above ``LONGEST`` bytes is.
     """
 
     def __init__(self, path: str):
@@ -104,40 +120,142 @@ class WordEncoder:
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-
-    def words(self, text: str) -> list[str]:
-        """Words whose ids one after the other are those of the text."""
-        if PLAIN.fullmatch(text) and not any(token in text for token in self.special):
-            return PLAIN_WORD.findall(text.lower())
-        return text.replace("\n", " ").split(" ")
-
-    def learn(self, words: list[str]) -> None:
-        plain = [w for w in words if PLAIN_WORD.fullmatch(w) and PLAIN.fullmatch(w)]
-        (code,) = self.tokenizer.encode_batch([" ".join(plain)], add_special_tokens=False)
+        self.forget()
+
+    def forget(self) -> None:
+        self.spelled, self.spelled_at = np.zeros(0, np.uint8), np.zeros(1, np.int64)
+        self.ids, self.ids_at = np.zeros(0, "<u4"), np.zeros(1, np.int64)
+        self.hashes = np.zeros(0, np.uint64)
+        self.slots = np.full(1 << 16, -1, np.int32)
+
+    def words(self, texts: pa.Array, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts and ends of words whose ids one after the other are those of the texts, and each text's first word's number."""
+        odd = _ODD_BYTE[data]
+        at = np.flatnonzero(data == 0xC9)
+        odd[at] |= data[at + 1] > 0x8F
+        for pair in _ODD_PAIRS:
+            at = np.flatnonzero(data == pair[0])
+            odd[at] |= data[at + 1] == pair[1]
+        strange = np.add.reduceat(np.append(odd, False), bounds[:-1], dtype=np.int64) > 0 if len(texts) else np.zeros(0, bool)
+        strange &= np.diff(bounds) > 0
+        for token in self.special:
+            strange |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        kind = _PLAIN_CLASS[data]
+        for t in np.flatnonzero(strange):
+            own = kind[bounds[t] : bounds[t + 1]]
+            own[own != _BLANK] = _LETTER
+        change = np.ones(len(data) + 1, bool)
+        np.not_equal(kind[1:], kind[:-1], out=change[1:-1])
+        change[:-1] |= kind == _DIGIT
+        change[1:] |= kind == _DIGIT
+        change[bounds] = True
+        filled = kind != _BLANK
+        starts = np.flatnonzero(change[:-1] & filled)
+        ends = np.flatnonzero(change[1:] & filled) + 1
+        return starts, ends, np.searchsorted(starts, bounds)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each known word, -1 of others."""
+        slot = (hashes & np.uint64(len(self.slots) - 1)).astype(np.int64)
+        found = np.full(len(hashes), -1, np.int64)
+        open_ = np.arange(len(hashes))
+        while len(open_):
+            at = self.slots[slot[open_]]
+            used = at >= 0
+            open_, at = open_[used], at[used]
+            hit = self.hashes[at] == hashes[open_]
+            found[open_[hit]] = at[hit]
+            open_ = open_[~hit]
+            slot[open_] = (slot[open_] + 1) & (len(self.slots) - 1)
+        return found
+
+    def learn(self, spelled: list[bytes], hashes: np.ndarray) -> None:
+        """Remember words of different hashes."""
+        order, ids, counts = self.encode_words([w.decode() for w in spelled])
+        spelled, hashes = [spelled[i] for i in order], hashes[order]
+        sizes = np.fromiter(map(len, spelled), np.int64, len(spelled))
+        self.spelled = np.append(self.spelled, np.frombuffer(b"".join(spelled), np.uint8))
+        self.spelled_at = np.append(self.spelled_at, self.spelled_at[-1] + np.cumsum(sizes))
+        self.ids = np.append(self.ids, ids)
+        self.ids_at = np.append(self.ids_at, self.ids_at[-1] + np.cumsum(counts))
+        self.hashes = np.append(self.hashes, hashes)
+        fresh = np.arange(len(self.hashes) - len(hashes), len(self.hashes))
+        if 2 * len(self.hashes) > len(self.slots):
+            self.slots = np.full(1 << (4 * len(self.hashes)).bit_length(), -1, np.int32)
+            fresh = np.arange(len(self.hashes))
+        slot = (self.hashes[fresh] & np.uint64(len(self.slots) - 1)).astype(np.int64)
+        while len(fresh):
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = fresh[free]  # of several words for a place the last one has it
+            left = self.slots[slot] != fresh
+            fresh, slot = fresh[left], (slot[left] + 1) & (len(self.slots) - 1)
+
+    def encode_words(self, words: list[str]) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """(numbers of the words in the order of their ids, ids, number of ids of each)."""
+        plain, rest = [], []
+        for i, word in enumerate(words):
+            (plain if LETTERS.fullmatch(word) else rest).append(i)
+        (code,) = self.tokenizer.encode_batch([" ".join([words[i] for i in plain])], add_special_tokens=False)
         ids = np.array(code.ids, "<u4")
         ends = np.flatnonzero(self.last[ids]) + 1
-        if len(ends) == len(plain):
-            raw, edges = ids.tobytes(), [0, *(4 * ends).tolist()]
-            self.known.update((w, raw[a:b]) for w, a, b in zip(plain, edges, edges[1:]))
-        rest = [w for w in words if w not in self.known]
-        for word, code in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
-            self.known[word] = array("I", code.ids).tobytes()
-
-    def encode_batch(self, texts: list[str], end: int) -> list[bytes]:
-        parts = [self.words(text) for text in texts]
-        seen = set().union(*parts)
-        fresh = [w for w in seen if w not in self.known]
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self.known, fresh = {}, list(seen)
-        self.learn(fresh)
-        get, last = self.known.__getitem__, array("I", [end]).tobytes()
-        return [b"".join(map(get, words)) + last for words in parts]
+        if len(ends) != len(plain):
+            plain, rest, ids, ends = [], [*plain, *rest], ids[:0], ends[:0]
+        made = [code.ids for code in self.tokenizer.encode_batch([words[i] for i in rest], add_special_tokens=False)]
+        more = np.fromiter(chain.from_iterable(made), "<u4")
+        return plain + rest, np.append(ids, more), np.append(np.diff(ends, prepend=0), list(map(len, made))).astype(np.int64)
+
+    def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each with the end id behind it, and the n + 1 bounds between texts."""
+        data, bounds = flat(texts)
+        starts, ends, first = self.words(texts, data, bounds)
+        hashes = word_hashes(data, starts, ends, fold=False)
+        short = ends - starts <= LONGEST
+        found = self.find(hashes)
+        fresh = np.flatnonzero((found < 0) & short)
+        if len(fresh):
+            new, at = np.unique(hashes[fresh], return_index=True)
+            if self.spelled.nbytes + self.ids.nbytes + 24 * (len(self.hashes) + len(new)) > REMEMBERED_BYTES:
+                self.forget()
+                new, at = np.unique(hashes[short], return_index=True)
+                fresh = np.flatnonzero(short)
+            at = fresh[at]
+            self.learn([data[a:b].tobytes() for a, b in zip(starts[at].tolist(), ends[at].tolist())], new)
+            found = self.find(hashes)
+        found[~short] = -1
+        known = found >= 0
+        known[known] = np.diff(self.spelled_at)[found[known]] == (ends - starts)[known]
+        # compared by bytes: a word whose hash is another's is encoded by itself
+        at = np.flatnonzero(known)
+        lengths = (ends - starts)[at]
+        unlike = data[spread(starts[at], lengths)] != self.spelled[spread(self.spelled_at[found[at]], lengths)]
+        if unlike.any():
+            known[at[np.unique(np.repeat(np.arange(len(at)), lengths)[unlike])]] = False
+        pool, pool_at = self.ids, self.ids_at
+        alone = np.flatnonzero(~known)
+        if len(alone):
+            spelled = [data[a:b].tobytes().decode() for a, b in zip(starts[alone].tolist(), ends[alone].tolist())]
+            order, ids, counts = self.encode_words(spelled)
+            found[alone[order]] = len(pool_at) - 1 + np.arange(len(alone))
+            pool, pool_at = np.append(pool, ids), np.append(pool_at, pool_at[-1] + np.cumsum(counts))
+        counts = np.diff(pool_at)[found]
+        total = np.append(0, np.cumsum(counts))
+        edges = total[first] + np.arange(len(bounds))
+        out = np.full(edges[-1], end, "<u4")
+        inside = np.ones(edges[-1], bool)
+        inside[edges[1:] - 1] = False
+        out[inside] = pool[spread(pool_at[found], counts)]
+        return out, edges
+
+
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each stretch, one stretch after the other."""
+    ahead = np.cumsum(sizes) - sizes
+    return np.arange(int(sizes.sum())) + np.repeat(starts - ahead, sizes)
 
 
 @lru_cache(4)
 def encoder(path: str) -> WordEncoder:
-    """The encoder of a file, once per process."""
+    """The encoder of a file, once per process; what it remembers goes when a task ends."""
     return WordEncoder(path)
 
 
@@ -152,7 +270,7 @@ def _write_runs(path: str, end: int):
 
         def close():
             nonlocal number, before, held, keys, sizes, parts
-            body, starts = pack(np.frombuffer(b"".join(parts), "<u4"))
+            body, starts = pack(np.concatenate(parts))
             made = pa.RecordBatch.from_pydict(
                 {"file": [file], "run": [number], "before": [before], "ids": [keys], "sizes": [sizes], "starts": [starts],
                  "body": [body]},
@@ -163,20 +281,24 @@ def _write_runs(path: str, end: int):
             held, keys, sizes, parts = 0, [], [], []
             return made
 
-        for batch in batches:
-            texts = strings(batch.column("text"))
-            for lo, hi in slices(texts):
-                ids = batch.column("id").slice(lo, hi - lo).to_pylist()
+        try:
+            for batch in batches:
+                texts = strings(batch.column("text"))
                 file = batch.column("file")[0].as_py()
-                for key, code in zip(ids, own.encode_batch(texts.slice(lo, hi - lo).to_pylist(), end)):
-                    keys.append(key)
-                    sizes.append(len(code) // 4)
-                    parts.append(code)
-                    held += sizes[-1]
-                    if held >= RUN_IDS:
-                        yield close()
-        if keys:
-            yield close()
+                for lo, hi in slices(texts):
+                    codes, edges = own.encode(texts.slice(lo, hi - lo), end)
+                    ids = batch.column("id").slice(lo, hi - lo).to_pylist()
+                    for key, a, b in zip(ids, edges.tolist(), edges[1:].tolist()):
+                        keys.append(key)
+                        sizes.append(b - a)
+                        parts.append(codes[a:b])
+                        held += b - a
+                        if held >= RUN_IDS:
+                            yield close()
+            if keys:
+                yield close()
+        finally:
+            own.forget()
 
     return run
 
@@ -186,7 +308,9 @@ def write_token_files(docs: DataFrame, path: str, out: str, key: str = "doc_id",
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    ordered = rows.repartitionByRange(n, F.col("id").asc_nulls_first()).sortWithinPartitions(
+    # a beginning of the text as second key lets an id with very many rows be several ranges
+    ranges = F.col("id").asc_nulls_first(), F.substring("text", 1, 32).asc_nulls_first()
+    ordered = rows.repartitionByRange(n, *ranges).sortWithinPartitions(
         F.col("id").asc_nulls_first(), F.col("text").asc_nulls_first()
     )
     numbered = ordered.withColumn("file", F.spark_partition_id().cast("long"))
@@ -199,7 +323,8 @@ def read_runs(spark, out: str) -> DataFrame:
     files = runs.groupBy("file").agg(F.sum(F.col("before") * 0 + F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x)).alias("n"))
     order = W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)  # one row per file
     offsets = files.select("file", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("ahead"))
-    return runs.join(offsets, "file").withColumn("before", F.col("before") + F.col("ahead")).drop("ahead")
+    # a row per file, of which there are as many as shuffle partitions
+    return runs.join(F.broadcast(offsets), "file").withColumn("before", F.col("before") + F.col("ahead")).drop("ahead")
 
 
 def read_documents(runs: DataFrame) -> DataFrame:
