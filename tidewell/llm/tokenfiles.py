@@ -195,12 +195,12 @@ class WordEncoder:
         plain, rest = [], []
         for i, word in enumerate(words):
             (plain if LETTERS.fullmatch(word) else rest).append(i)
-        (code,) = self.tokenizer.encode_batch([" ".join([words[i] for i in plain])], add_special_tokens=False)
+        (code,) = self.tokenizer.encode_batch_fast([" ".join([words[i] for i in plain])], add_special_tokens=False)
         ids = np.array(code.ids, "<u4")
         ends = np.flatnonzero(self.last[ids]) + 1
         if len(ends) != len(plain):
             plain, rest, ids, ends = [], [*plain, *rest], ids[:0], ends[:0]
-        made = [code.ids for code in self.tokenizer.encode_batch([words[i] for i in rest], add_special_tokens=False)]
+        made = [code.ids for code in self.tokenizer.encode_batch_fast([words[i] for i in rest], add_special_tokens=False)]
         more = np.fromiter(chain.from_iterable(made), "<u4")
         return plain + rest, np.append(ids, more), np.append(np.diff(ends, prepend=0), list(map(len, made))).astype(np.int64)
 
