@@ -42,6 +42,20 @@ def test_edges_against_sql(spark):
     assert difference(divergence.judge(docs), con, divergence.SQL) is None
 
 
+def test_common_words_of_any_length(spark):
+    usual = ["Donaudampfschiffahrt", "selbstverständlich", "Zusammenarbeit", "beziehungsweise"]
+    texts = [(i, " ".join(f"{usual[(i + k) % 4]} w{i * 40 + k}" for k in range(60)), "de") for i in range(50)]
+    odd = [(99, " ".join(f"v{k}" for k in range(120)), "de")]
+    docs = spark.createDataFrame(texts + odd, "doc_id long, text string, lang string")
+    assert set(usual) <= set(divergence.common_words(docs).first()["top_words"])
+    found = {r["doc_id"]: r for r in divergence.judge(docs).collect()}
+    assert found[99]["word_distance"] > 0.4 > max(r["word_distance"] for i, r in found.items() if i != 99)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", texts + odd)
+    assert difference(divergence.judge(docs), con, divergence.SQL) is None
+
+
 def test_a_very_long_text(spark):
     r = divergence.judge(documents(spark)).where("doc_id = 6").first()
     assert r["n_words"] == 60_000 and r["n_repeat_words"] > 30_000 and r["base_failed"]

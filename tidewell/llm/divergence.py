@@ -2,7 +2,7 @@
 
 Each text is compared with the reference of its language, which is counted over all rows of
 that language: the shares of seven character classes, and the shares of its most frequent
-short words and of all other words. The measure is the Jensen-Shannon distance (base 2, 0 to 1).
+words, of any length, and of all other words. The measure is the Jensen-Shannon distance (base 2, 0 to 1).
 Histograms of few words say little, so texts below a least length fail the base rules,
 and the words are compared from ``WORD_GUARD`` words on only.
 
@@ -25,7 +25,6 @@ from tidewell.session import materialize
 LEAST_WORDS = 50
 WORD_GUARD = 100
 TOP_WORDS = 16
-SHORT = 4
 CHAR_LIMIT = 0.31
 WORD_LIMIT = 0.4
 SPACE = r"[\x20\x09-\x0D]"
@@ -56,32 +55,49 @@ def distance(shares: str, others: str) -> Column:
     return F.when(F.col(shares).isNotNull(), F.round(F.sqrt(F.greatest(_total(parts) / 2, F.lit(0.0))), 6))
 
 
+def _outside(pattern: str) -> str:
+    """Runs of the characters that a class does not hold."""
+    inner = pattern[1:-1]
+    return f"[{inner[1:]}]+" if inner.startswith("^") else f"[^{inner}]+"
+
+
+def _words(text: Column) -> Column:
+    return F.array_remove(F.split(text, SPACE + "+"), "")
+
+
 def _counted(docs: DataFrame, key: str, text: str, lang: str) -> DataFrame:
     """Key, language, text, words, code points and the characters of each class."""
     rows = docs.select(F.col(key).alias("id"), F.coalesce(lang, F.lit("")).alias("lang"),
                        F.coalesce(text, F.lit("")).alias("text"))
-    counts = [F.regexp_count("text", F.lit(pattern)).cast("long").alias(name) for name, pattern in CLASSES.items()]
-    words = F.array_remove(F.split("text", SPACE + "+"), "").alias("words")
-    return rows.select("id", "lang", "text", words, F.char_length("text").cast("long").alias("chars"), *counts)
+    counts = [
+        F.char_length(F.regexp_replace("text", F.lit(_outside(pattern)), F.lit(""))).cast("long").alias(name)
+        for name, pattern in CLASSES.items()
+    ]
+    return rows.select("id", "lang", "text", _words(F.col("text")).alias("words"),
+                       F.char_length("text").cast("long").alias("chars"), *counts)
 
 
-def reference(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """One row per language: totals of the character classes, of words, and the frequent short words with counts."""
-    counted = _counted(docs.withColumn(lang, F.col(lang)), lang, text, lang)
-    chars = counted.groupBy("lang").agg(
-        F.sum("chars").alias("chars"), *(F.sum(c).alias(c) for c in CLASSES), F.sum(F.size("words")).alias("n")
-    )
-    words = F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE + "+"), "")
+def common_words(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """One row per language: its most frequent words with their counts, most frequent first."""
+    words = _words(F.coalesce(text, F.lit("")))
     each = docs.select(F.coalesce(lang, F.lit("")).alias("lang"), F.explode(words).alias("word"))
-    counts = each.where(F.length("word") <= SHORT).groupBy("lang", "word").agg(F.count("*").alias("n"))
+    counts = each.groupBy("lang", "word").agg(F.count("*").alias("n"))
     order = W.partitionBy("lang").orderBy(F.desc("n"), "word")
     best = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= TOP_WORDS)
     tops = best.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "word", "n"))).alias("top"))
-    return chars.join(tops, "lang", "left").select(
+    return tops.select(F.col("lang").alias("top_lang"), F.transform("top", lambda x: x["word"]).alias("top_words"),
+                       F.transform("top", lambda x: x["n"]).alias("top_counts"))
+
+
+def reference(counted: DataFrame, tops: DataFrame) -> DataFrame:
+    """One row per language, from the counts of all its rows and its common words: shares of classes and of words."""
+    totals = counted.groupBy("lang").agg(
+        F.sum("chars").alias("chars"), *(F.sum(c).alias(c) for c in CLASSES), F.sum("n_words").alias("n")
+    )
+    return totals.join(tops, F.col("lang") == F.col("top_lang"), "left").select(
         F.col("lang").alias("ref_lang"),
         F.array(*(F.try_divide(c, "chars") for c in CLASSES)).alias("ref_classes"),
-        F.transform("top", lambda x: x["word"]).alias("ref_words"),
-        F.transform("top", lambda x: F.try_divide(x["n"], F.col("n"))).alias("ref_shares"),
+        F.transform("top_counts", lambda x: F.try_divide(x, F.col("n"))).alias("ref_shares"),
     )
 
 
@@ -89,10 +105,13 @@ def repeated_words(words: str) -> tuple[list, Column]:
     """Columns to add one after the other, and the number of words in three-word windows found twice or more."""
     n = F.size(words)
     hashes = F.transform(words, lambda w: F.xxhash64(w))
-    window = lambda i: F.struct(
-        F.xxhash64(F.get("hashes", i), F.get("hashes", i + 1), F.get("hashes", i + 2)).alias("h"), i.alias("at")
+    triple = lambda i: F.xxhash64(F.get("hashes", i), F.get("hashes", i + 1), F.get("hashes", i + 2))
+    triples = F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3), triple))
+    # only texts in which some window repeats have their windows sorted
+    windows = F.when(
+        F.size(F.array_distinct("triples")) < F.size("triples"),
+        F.sort_array(F.transform("triples", lambda h, i: F.struct(h.alias("h"), i.alias("at")))),
     )
-    windows = F.when(n >= 3, F.sort_array(F.transform(F.sequence(F.lit(0), n - 3), window)))
     twice = F.filter(
         "windows",
         lambda x, i: ((i > 0) & (F.get("windows", i - 1)["h"] == x["h"])) | (F.coalesce(F.get("windows", i + 1)["h"] == x["h"], F.lit(False))),
@@ -103,7 +122,7 @@ def repeated_words(words: str) -> tuple[list, Column]:
     step = lambda acc, at: F.struct(
         at.alias("last"), (acc["total"] + F.least(F.lit(3), at - acc["last"])).cast("long").alias("total")
     )
-    return [("hashes", hashes), ("windows", windows), ("places", places)], F.coalesce(
+    return [("hashes", hashes), ("triples", triples), ("windows", windows), ("places", places)], F.coalesce(
         F.aggregate("places", start, step, lambda acc: acc["total"]), F.lit(0).cast("long")
     )
 
@@ -112,29 +131,28 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
           char_limit: float = CHAR_LIMIT, word_limit: float = WORD_LIMIT) -> DataFrame:
     """Counts, distances and verdict of every row: (key, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, kept, char_distance, word_distance)."""
-    rows = _counted(docs, key, text, lang)
+    # stored first: by its true size, a row per language, the planner sends it to all tasks
+    tops = materialize(common_words(docs, text, lang), "common-words")
+    rows = _counted(docs, key, text, lang).join(tops, F.col("lang") == F.col("top_lang"), "left")
     steps, repeated = repeated_words("words")
     for name, column in steps:
         rows = rows.withColumn(name, column)
     lines = F.filter(F.split("text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
-    rows = rows.select(
-        "id", "lang", "words", "chars", *CLASSES, F.size("words").cast("long").alias("n_words"),
-        lines.alias("lines"), repeated.alias("n_repeat_words"),
-    )
-    rows = rows.select(
-        "id", "lang", "words", "chars", *CLASSES, "n_words", "n_repeat_words",
+    rows = rows.withColumn("lines", lines)
+    n_words = F.size("words")
+    held = F.array(*(n_words - F.size(F.array_remove("words", F.get("top_words", F.lit(i)))) for i in range(TOP_WORDS)))
+    counted = rows.select(
+        "id", "lang", "chars", *CLASSES, n_words.cast("long").alias("n_words"), repeated.alias("n_repeat_words"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
+        F.when(n_words >= WORD_GUARD, F.slice(held, 1, F.size("top_words"))).alias("held"),
     )
-    # stored first: by its true size, a row per language, the planner sends it to all tasks
-    known = rows.join(materialize(reference(docs, text, lang), "references"), F.col("lang") == F.col("ref_lang"), "left")
-    none = F.array().cast("array<string>")
-    held = F.transform(
-        F.coalesce("ref_words", none), lambda w: F.try_divide(F.size("words") - F.size(F.array_remove("words", w)), F.size("words"))
-    )
+    # counted once for the references and for the verdicts
+    counted = materialize(counted, "counts")
+    known = counted.join(materialize(reference(counted, tops), "references"), F.col("lang") == F.col("ref_lang"), "left")
     known = known.select(
         "id", "chars", "space", "symbol", "n_words", "n_repeat_words", "n_dup_lines",
         F.array(*(F.try_divide(c, "chars") for c in CLASSES)).alias("classes"), "ref_classes",
-        F.when(F.col("n_words") >= WORD_GUARD, held).alias("shares"),
+        F.transform("held", lambda x: F.try_divide(x, F.col("n_words"))).alias("shares"),
         F.coalesce("ref_shares", F.array().cast("array<double>")).alias("ref_shares"),
     )
     known = known.withColumns({c: whole(F.col(c)) for c in ("classes", "ref_classes", "shares", "ref_shares")})
@@ -168,7 +186,7 @@ c AS (SELECT r, doc_id, lang, text, regexp_extract_all(text, '[^\\x20\\x09-\\x0D
 chars AS (SELECT lang, sum(chars) AS chars, sum(len(words)) AS n, {", ".join(f'sum("{n}") AS "{n}"' for n in CLASSES)}
           FROM c GROUP BY lang),
 each AS (SELECT r, lang, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM c),
-top AS (SELECT lang, word, count(*) AS n FROM each WHERE length(word) <= {SHORT} GROUP BY lang, word
+top AS (SELECT lang, word, count(*) AS n FROM each GROUP BY lang, word
         QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) <= {TOP_WORDS}),
 ref AS (SELECT lang, word, top.n / chars.n AS q FROM top JOIN chars USING (lang)),
 tri AS (SELECT r, pos, word || ' ' || lead(word) OVER o || ' ' || lead(word, 2) OVER o AS t FROM each WINDOW o AS (PARTITION BY r ORDER BY pos)),
