@@ -1,7 +1,10 @@
 """Format-preserving pseudonyms."""
 
+import base64
 import datetime
+import random
 import re
+import time
 
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -104,3 +107,10 @@ def test_equal_values_stay_linked_across_rows(spark):
     assert len({r["text"].split("+")[1] for r in masked.collect()}) == 1
     back = P.mask(masked.select("doc_id", "text"), KEY, backward=True)
     assert sorted(r["text"] for r in back.collect()) == sorted(r["text"] for r in rows.collect())
+
+
+def test_a_megabyte_without_blanks_takes_linear_time():
+    letters = base64.b64encode(random.Random(3).randbytes(750_000)).decode().replace("/", "x")
+    begin = time.perf_counter()
+    assert P._next_find(letters + " ..bob@example.com", 0, lambda value, n, tweak: value)[1] >= len(letters)
+    assert time.perf_counter() - begin < 20

@@ -175,7 +175,7 @@ def _date(order: str) -> Callable[[str, Step], str | None]:
 
 # Kinds in order of precedence: name, pattern, and how a valid value changes (None: not valid).
 KINDS: list[tuple[str, str, Callable[[str, Step], str | None]]] = [
-    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", _mail),
+    ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", _mail),
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])", _account),
     ("ymd", r"(?<![\d.-])\d{4}(?:-\d{2}-|/\d{2}/|\.\d{2}\.)\d{2}(?![\d-])", _date("ymd")),
     ("dmy", r"(?<![\d.-])\d{2}\.\d{2}\.\d{4}(?![\d-])", _date("dmy")),
