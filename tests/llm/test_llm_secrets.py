@@ -134,3 +134,17 @@ def test_query_digests(spark):
         assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
         assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(k == i for _, k, _ in spans) for i in range(3)]
         assert set(filter(None, joined.split(","))) <= set(r["spans"].split(","))
+
+
+@pytest.mark.parametrize("keys", [lambda i: 5, lambda i: 8, lambda i: None, lambda i: i])
+def test_training_with_repeated_keys_and_copies(spark, monkeypatch, keys):
+    seen = []
+    monkeypatch.setattr(S, "train", lambda texts: seen.extend(texts))
+    unlike = [(keys(i), f"{prose(i, 5)} token = {i:032x}") for i in range(300)]
+    copies = [(keys(0), "the same text " * 3)] * 300
+    docs = spark.createDataFrame(unlike + copies, "doc_id long, text string").repartition(4)
+    S.fit(docs, sample=40)
+    assert len(seen) == len(set(seen)) == 40
+    seen.clear()
+    S.fit(docs.where("text like 'the same%'"), sample=40)
+    assert len(seen) == 1

@@ -257,15 +257,19 @@ def train(texts: list[str], epochs: int = 30, batch: int = 128, longest: int = 6
 
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Field | None:
-    """Train on excerpts of at most ``sample`` rows, chosen by a hash of the key, wherever they lie in a text."""
-    order = F.xxhash64(F.col(key).cast("string"), F.lit("secret"))
+    """Train on excerpts of at most ``sample`` rows, chosen by a hash of key and text, wherever they lie in a text.
+
+    Rows of equal key and text count once, so that neither repeated nor null keys empty the sample, nor copies fill it.
+    """
+    order = F.xxhash64(F.col(key).cast("string"), F.col(text), F.lit("secret"))
     start = F.pmod(order, F.greatest(F.char_length(F.col(text)) - EXCERPT, F.lit(1))).cast("int") + 1
     rows = docs.where(F.col(text).isNotNull()).select(
         order.alias("place"), F.substring(F.col(text), start, F.lit(EXCERPT)).alias("text")
     )
     # the lowest hashes lie below a bound that leaves about 1.5 samples, so tasks send few rows however many they are
-    share = min(1.0, 1.5 * sample / max(rows.count(), 1))
-    low = rows.where(F.col("place") <= min(int(-(2**63) + share * 2**64), 2**63 - 1))
+    unlike = rows.agg(F.approx_count_distinct("place")).first()[0]
+    share = min(1.0, 1.5 * sample / max(unlike, 1))
+    low = rows.where(F.col("place") <= min(int(-(2**63) + share * 2**64), 2**63 - 1)).dropDuplicates(["place"])
     return train([r["text"] for r in low.orderBy("place", "text").limit(sample).collect()])
 
 
