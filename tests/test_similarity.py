@@ -95,3 +95,14 @@ def test_dense_rows_write_their_best_only(spark, monkeypatch):
     monkeypatch.setattr(S, "_products", None)  # the way that writes out pairs is not taken
     rows = S.top_similar(vectors, 3, task_rows=12_000).collect()
     assert {(r["id"], r["neighbor"], r["sim"], r["rank"]) for r in rows} == best(cosine(dense), 3)
+
+
+def test_few_long_rows_are_cut_by_feature_only(spark):
+    """Ten ids with a thousand rows each: every row is sent once, not to a tile of each other id."""
+    matrix = np.where(np.random.default_rng(4).random((10, 2000)) < 0.5, 1.0, 0.0)
+    vectors = frame(spark, matrix)
+    layout = S._layout(vectors, S.TILE_IDS, 1000)
+    assert layout.long_ids is None and len(layout.chunks) == 1 and layout.chunks[0] > 1
+    assert S._tiled(vectors, layout).count() == vectors.count()
+    rows = S.top_similar(vectors, 4, task_rows=1000).collect()
+    assert {(r["id"], r["neighbor"], r["sim"], r["rank"]) for r in rows} == best(cosine(matrix), 4)
