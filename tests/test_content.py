@@ -58,3 +58,12 @@ def test_copies_are_compared_once_yet_all_listed(spark):
     assert sorted(got[300]) == [(i + 1, i, one) for i in range(4)]
     assert sorted(got[302]) == [(i + 1, i, other) for i in range(4)]
     assert 301 not in got and 303 not in got and len(got) == 302
+
+
+def test_ngrams_are_counted_without_shuffling_them(spark, monkeypatch):
+    monkeypatch.setattr(content, "TASK_LETTERS", 10)
+    rows = [(i % 7, f"red blue red {i}") for i in range(50)] + [(None, "red"), (3, None)]
+    found = content.ngram_counts(spark.createDataFrame(rows, "id long, text string"), F.col("text"))
+    assert found.rdd.getNumPartitions() >= 50
+    got = {(r["id"], r["ngram"]): r["n"] for r in found.collect()}
+    assert got[(0, "red")] == 16 and got[(0, "red blue red")] == 8 and got[(None, "red")] == 1

@@ -11,6 +11,7 @@ from tidewell.operators.similarity import similar_to_each, top_similar
 from tidewell.session import materialize
 
 DETAIL_COLUMNS = ["id", "genres", "vote_average", "vote_count", "popularity", "title", "keywords", "overview"]
+TASK_LETTERS = 1_000_000
 
 
 def with_score(movies: DataFrame, share: float = 0.9) -> DataFrame:
@@ -41,8 +42,15 @@ def set_aside(movies: DataFrame, nested: tuple[str, ...] = ("genres", "keywords"
 
 
 def ngram_counts(movies: DataFrame, text: Column, longest: int = 3) -> DataFrame:
-    """(id, ngram, n)."""
-    grams = movies.select("id", F.explode(word_ngrams(text, 1, longest)).alias("ngram"))
+    """(id, ngram, n).
+
+    The texts are dealt by id into as many tasks as their length asks for, so a task counts n-grams of a bounded stretch of
+    text, and the n-grams are not shuffled.
+    """
+    texts = materialize(movies.select("id", text.alias("text")), "ngram-texts")
+    length = texts.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    n = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-length // TASK_LETTERS))
+    grams = texts.repartition(n, "id").select("id", F.explode(word_ngrams(F.col("text"), 1, longest)).alias("ngram"))
     return grams.groupBy("id", "ngram").agg(F.count("*").alias("n"))
 
 
