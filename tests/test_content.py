@@ -67,3 +67,17 @@ def test_ngrams_are_counted_without_shuffling_them(spark, monkeypatch):
     assert found.rdd.getNumPartitions() >= 50
     got = {(r["id"], r["ngram"]): r["n"] for r in found.collect()}
     assert got[(0, "red")] == 16 and got[(0, "red blue red")] == 8 and got[(None, "red")] == 1
+
+
+def test_recommendations_write_few_rows_however_many_copies(spark, monkeypatch):
+    """All movies of a title and their copies: what is compared are the distinct texts."""
+    kept = []
+    materialize = content.materialize
+    monkeypatch.setattr(content, "materialize", lambda df, label: kept.append((label, materialize(df, label))) or kept[-1][1])
+    rows = [(i, "same" if i % 2 else f"t{i}", ["action war", "Action War", "drama"][i % 3], float(i)) for i in range(240)]
+    rows += [(240, "other", "war", 1.0), (240, "other", "drama", 1.0)]
+    movies = spark.createDataFrame(rows, "id long, title string, genres string, score double")
+    found = content.recommend_by_title(movies, "same", top=130, n=5).collect()
+    sizes = {label: table.count() for label, table in kept}
+    assert sizes["content-groups"] == 2 and sizes["content-vectors"] <= 9
+    assert [(r["id"], r["sim"]) for r in found] == [(r, 1.0) for r in (236, 230, 224, 218, 212)]

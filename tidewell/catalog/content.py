@@ -56,7 +56,7 @@ def similar_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
 def content_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recommendations for one product among all of them, however few votes they have."""
     scored = plan.prepare(movie_details(spark, sf_dir), share=0.0).withColumn("score", F.round("score", 6))
-    return plan.recommend(scored, TARGET).select("id", "title", "genres", "sim", "score")
+    return plan.recommend(materialize(scored, "scored"), TARGET).select("id", "title", "genres", "sim", "score")
 
 
 def recommend_by_title(spark: SparkSession, sf_dir: str) -> DataFrame:

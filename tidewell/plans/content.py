@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidewell.functions.scoring import weighted_rating
 from tidewell.functions.text import nested_names, word_ngrams
 from tidewell.operators.postings import top_rows
-from tidewell.operators.similarity import similar_to_each, top_similar
+from tidewell.operators.similarity import nearest_to_each, top_similar
 from tidewell.session import materialize
 
 DETAIL_COLUMNS = ["id", "genres", "vote_average", "vote_count", "popularity", "title", "keywords", "overview"]
@@ -19,8 +19,9 @@ def with_score(movies: DataFrame, share: float = 0.9) -> DataFrame:
 
     The mean rating in the formula is that of the kept movies. The exact quantile
     keeps one counter per distinct vote count, of which a total of N votes has at most
-    sqrt(2 N).
+    sqrt(2 N). The movies are stored first, since they are read for the quantile, the mean and the result.
     """
+    movies = materialize(movies, "movies")
     floor = movies.agg(F.percentile("vote_count", F.lit(share))).scalar()
     popular = movies.where(F.col("vote_count") >= floor)
     mean = popular.agg(F.avg("vote_average")).scalar()
@@ -76,10 +77,21 @@ def recommend_by_title(movies: DataFrame, title: str, text: str = "genres", top:
 
 
 def _nearest(movies: DataFrame, targets: DataFrame, text: str, top: int, n: int) -> DataFrame:
-    """The ``n`` best scored among the ``top`` nearest of every target, the targets left out."""
+    """The ``n`` best scored among the ``top`` nearest of every target, the targets left out.
+
+    Distinct texts are compared; a text stands for its copies through their first ``top + 1`` ids, of which one may be the target.
+    """
     targets = materialize(targets.select(F.col("id").alias("target")), "targets")
-    vectors = materialize(ngram_vectors(movies, F.col(text)), "content-vectors")
-    sims = similar_to_each(vectors, targets)
+    members, vectors = _distinct_texts(movies, F.col(text))
+    wanted = targets.distinct().join(members, F.col("target") == F.col("id")).select("target", "group")
+    wanted = materialize(wanted, "target-groups")
+    near = nearest_to_each(vectors, wanted.select(F.col("group").alias("target")).distinct(), top + 1)
+    first = top_rows(members, ["group"], [F.col("id")], top + 1).select(F.col("group").alias("neighbor"), F.col("id").alias("member"))
+    offers = near.withColumnRenamed("id", "neighbor").join(first, "neighbor")
+    offers = top_rows(offers, ["target"], [F.desc("sim"), F.col("member")], top + 1).select(
+        F.col("target").alias("group"), F.col("member").alias("id"), "sim"
+    )
+    sims = materialize(wanted.join(offers, "group").select("target", "id", "sim"), "target-neighbours")
     # similarity zero fills the places that are left, smallest ids first: 2 * top ids are enough for any target
     fillers = [row["id"] for row in movies.select("id").orderBy("id").limit(2 * top).collect()]
     filled = targets.withColumn("id", F.explode(F.lit(fillers))) if fillers else sims.select("target", "id").limit(0)
@@ -93,6 +105,22 @@ def _nearest(movies: DataFrame, targets: DataFrame, text: str, top: int, n: int)
     return movies.join(best, "id").orderBy(F.desc("score"), "id").limit(n)
 
 
+def _distinct_texts(movies: DataFrame, text: Column) -> tuple[DataFrame, DataFrame]:
+    """((id, group), n-gram vectors of the groups): ids of one and the same text are a group, named after the smallest id.
+
+    An id with several texts is a group of its own, with the n-grams of all of them.
+    """
+    texts = movies.select("id", F.lower(text).alias("text")).where(F.col("id").isNotNull() & F.col("text").isNotNull())
+    texts = materialize(texts, "content-texts")
+    ids = texts.groupBy("id").agg(F.min("text").alias("text"), (F.min("text") == F.max("text")).alias("single"))
+    ids = materialize(ids, "content-ids")
+    single, several = ids.where("single"), ids.where("NOT single").select("id")
+    groups = materialize(single.groupBy("text").agg(F.min("id").alias("group")), "content-groups")
+    members = single.join(groups, "text").select("id", "group").unionByName(several.select("id", F.col("id").alias("group")))
+    rows = groups.select(F.col("group").alias("id"), "text").unionByName(texts.join(several, "id", "left_semi"))
+    return materialize(members, "content-members"), materialize(ngram_vectors(rows, F.col("text")), "content-vectors")
+
+
 def similar_movies(movies: DataFrame, text: Column, k: int) -> DataFrame:
     """(id, neighbor, sim, rank): the ``k`` most similar other movies of each movie.
 
