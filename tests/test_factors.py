@@ -297,3 +297,30 @@ def test_registered_recommendations_rank_every_unseen_product(spark, shop, every
     for user in range(40):
         got = sorted((r["rank"], r["movieId"] - 1) for r in rows if r["userId"] == user + 20)
         assert got == list(enumerate(unseen(shop[1], every_prediction, user, 3), 1))
+
+
+def test_users_with_few_ratings_are_added_up_once(spark):
+    """A pass moves nothing for users with few ratings; items of theirs and of busy users come out as in a dense decomposition."""
+    rng = np.random.default_rng(11)
+    m = np.zeros((400, 12))
+    for user in range(400):
+        some = rng.choice(12, 9 if user < 20 else rng.integers(1, 5), replace=False)
+        m[user, some] = rng.integers(1, 6, len(some)) * 0.8**some
+    u, i = np.nonzero(m)
+    rows = spark.createDataFrame(pd.DataFrame({"user": u, "item": i, "rating": m[u, i]}))
+    tiles = factors.Tiles(rows)
+    assert tiles.users.count() == 20 and tiles.rated.keys.count() == tiles.pairs.keys.count() == 1
+    tiles.close()
+    for some, centred in ((rows, True), (rows.where("user >= 20"), False)):
+        dense = np.zeros((400, 12))
+        for r in some.collect():
+            dense[r["user"], r["item"]] = r["rating"]
+        sigma, v = truth(dense - centred * dense.mean(1, keepdims=True), 3)
+        model = factors.item_factors(some, 3, centred, oversampling=2)
+        np.testing.assert_allclose(model.sigma, sigma, rtol=1e-8)
+        np.testing.assert_allclose(np.array([r["factor"] for r in model.items.orderBy("item").collect()]), v, atol=1e-6)
+
+
+@pytest.mark.parametrize("items, users, ratings, times", [(20_000, 15_000, 600_000, 1), (120_000, 90_000, 3_600_000, 3), (10**6, 10**6, 10**7, 4)])
+def test_sparse_tiles_are_longer(items, users, ratings, times):
+    assert factors.Tiles._longer(items, users, ratings) == times
