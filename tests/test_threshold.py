@@ -1,6 +1,7 @@
 """The threshold join against the whole correlation matrix."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,3 +94,21 @@ def test_members_and_edges(spark):
     assert latent.correlated_pairs(table.where("key < 0"), "key", F.col("v")).collect() == []
     with pytest.raises(ValueError):
         T.correlated_pairs(T.distinct_vectors(table, "key", F.col("v")), -1)
+
+
+def test_visits_of_a_batch_are_made_in_bounded_pieces(monkeypatch):
+    """Vectors that may have partners in every cell: their copies are never all in memory at once."""
+    monkeypatch.setattr(T, "PART", 16)
+    units = np.random.default_rng(5).standard_normal((50, 8))
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    pivots = units[:20]
+    angles = T._angles(units, pivots)
+    cell = angles.argmin(1)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(units.tolist()), pa.array(range(50)), pa.array([1] * 50), pa.array(cell, pa.int32()), pa.array(angles.min(1))],
+        ["unit", "id", "n", "cell", "angle"],
+    )
+    pieces = list(T._visiting(batch, pivots, np.full(20, np.pi), np.pi))
+    assert max(len(piece) for piece in pieces) <= 16
+    got = sorted((i, c) for piece in pieces for i, c in zip(piece.column("id").to_pylist(), piece.column("cell").to_pylist()))
+    assert got == sorted((i, c) for i in range(50) for c in range(cell[i]))

@@ -62,20 +62,27 @@ def _placed(found: DataFrame, pivots: np.ndarray) -> DataFrame:
     return found.mapInArrow(run, f"{fields}, cell int, angle double")
 
 
+def _visiting(batch: pa.RecordBatch, pivots: np.ndarray, reach: np.ndarray, limit: float):
+    """The vectors of a batch once for every cell of a smaller number that may hold a partner, at most PART at a time."""
+    angles = _angles(_matrix(batch.column("unit")), pivots)
+    cell, near = batch.column("cell").to_numpy(), batch.column("angle").to_numpy()
+    may = (angles <= near[:, None] + 2 * limit) & (angles <= reach + limit)
+    may &= np.arange(len(pivots)) < cell[:, None]
+    rows, others = np.nonzero(may)
+    for at in range(0, len(rows), PART):  # a vector may visit every cell: never all copies at once
+        row, other = rows[at : at + PART], others[at : at + PART]
+        taken = batch.take(pa.array(row))
+        columns = [taken.column(name) for name in ("unit", "id", "n")]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(other.astype(np.int32)), pa.array(angles[row, other])], batch.schema.names)
+
+
 def _visits(placed: DataFrame, pivots: np.ndarray, reach: np.ndarray, limit: float) -> DataFrame:
     """Each vector once for every cell of a smaller number that may hold a partner."""
 
     def run(batches):
         for batch in batches:
             if len(batch):
-                angles = _angles(_matrix(batch.column("unit")), pivots)
-                cell, near = batch.column("cell").to_numpy(), batch.column("angle").to_numpy()
-                may = (angles <= near[:, None] + 2 * limit) & (angles <= reach + limit)
-                may &= np.arange(len(pivots)) < cell[:, None]
-                row, other = np.nonzero(may)
-                taken = batch.take(pa.array(row))
-                columns = [taken.column(name) for name in ("unit", "id", "n")]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(other.astype(np.int32)), pa.array(angles[row, other])], batch.schema.names)
+                yield from _visiting(batch, pivots, reach, limit)
 
     return placed.mapInArrow(run, placed.schema)
 
