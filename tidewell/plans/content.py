@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidewell.functions.scoring import weighted_rating
 from tidewell.functions.text import nested_names, word_ngrams
 from tidewell.operators.postings import top_rows
-from tidewell.operators.similarity import nearest_to_each, top_similar
+from tidewell.operators.similarity import similar_to_each, top_similar
 from tidewell.session import materialize
 
 DETAIL_COLUMNS = ["id", "genres", "vote_average", "vote_count", "popularity", "title", "keywords", "overview"]
@@ -85,7 +85,8 @@ def _nearest(movies: DataFrame, targets: DataFrame, text: str, top: int, n: int)
     members, vectors = _distinct_texts(movies, F.col(text))
     wanted = targets.distinct().join(members, F.col("target") == F.col("id")).select("target", "group")
     wanted = materialize(wanted, "target-groups")
-    near = nearest_to_each(vectors, wanted.select(F.col("group").alias("target")).distinct(), top + 1)
+    sims = similar_to_each(vectors, wanted.select(F.col("group").alias("target")).distinct())
+    near = top_rows(sims, ["target"], [F.desc("sim"), F.col("id")], top + 1).drop("rank")
     first = top_rows(members, ["group"], [F.col("id")], top + 1).select(F.col("group").alias("neighbor"), F.col("id").alias("member"))
     offers = near.withColumnRenamed("id", "neighbor").join(first, "neighbor")
     offers = top_rows(offers, ["target"], [F.desc("sim"), F.col("member")], top + 1).select(
