@@ -106,3 +106,41 @@ def test_few_long_rows_are_cut_by_feature_only(spark):
     assert S._tiled(vectors, layout).count() == vectors.count()
     rows = S.top_similar(vectors, 4, task_rows=1000).collect()
     assert {(r["id"], r["neighbor"], r["sim"], r["rank"]) for r in rows} == best(cosine(matrix), 4)
+
+
+@pytest.mark.parametrize("entries", [60, 200, 10**6])
+def test_sparse_rows_travel_to_few_tiles(spark, monkeypatch, entries):
+    """Many ids with few features in common: tiles hold a number of rows, not of ids, and the result is the same."""
+    rng = np.random.default_rng(12)
+    m = np.where(rng.random((300, 500)) < 0.008, rng.integers(1, 6, (300, 500)), 0).astype(float)
+    m[:6, 0] = 1.0
+    m[20:24] = m[24]  # copies
+    vectors = frame(spark, m)
+    monkeypatch.setattr(S, "TILE_ENTRIES", entries)
+    monkeypatch.setattr(S, "SLICE_PRODUCTS", 50)
+    monkeypatch.setattr(S, "_tiled", None)
+    n_tiles = S._sparse_tiles(vectors, 4)
+    assert n_tiles == max(8, -(-vectors.count() // entries))
+    assert S._to_pairs(S.unit_rows(vectors), n_tiles, "feature").count() <= vectors.count() * min(n_tiles, 20)
+    rows = S.top_similar(vectors, 3, tile_ids=4).collect()
+    assert {(r["id"], r["neighbor"], r["sim"], r["rank"]) for r in rows} == best(cosine(m), 3)
+
+
+def test_sparse_products_of_dense_rows(monkeypatch):
+    """A row whose products are more than a slice is added up in one line."""
+    rng = np.random.default_rng(13)
+    m = np.where(rng.random((40, 30)) < 0.5, rng.random((40, 30)), 0.0)
+    monkeypatch.setattr(S, "SLICE_PRODUCTS", 37)
+    r, c = np.nonzero(m)
+    found = S._sparse_best((r, c, m[r, c]), (r, c, m[r, c]), 40, 5, True)
+    want = {(i, j, s) for i, j, s, _ in best(np.round(m @ m.T, 6), 5)}
+    assert {(i, j, round(s / 1e6, 6)) for i, j, s in zip(*(x.tolist() for x in found))} == want
+
+
+def test_first_of_long_rows():
+    rng = np.random.default_rng(14)
+    row = np.repeat([0, 1, 2, 5], [40, 3, 70, 12])
+    column, steps = np.concatenate([rng.permutation(100)[: n] for n in (40, 3, 70, 12)]), rng.integers(1, 9, 125)
+    found = list(zip(*(x.tolist() for x in S._first_of_rows(row, column, steps, 3))))
+    rows = list(zip(row.tolist(), column.tolist(), steps.tolist()))
+    assert found == [x for r in (0, 1, 2, 5) for x in sorted((x for x in rows if x[0] == r), key=lambda x: (-x[2], x[1]))[:3]]
