@@ -144,3 +144,21 @@ def test_first_of_long_rows():
     found = list(zip(*(x.tolist() for x in S._first_of_rows(row, column, steps, 3))))
     rows = list(zip(row.tolist(), column.tolist(), steps.tolist()))
     assert found == [x for r in (0, 1, 2, 5) for x in sorted((x for x in rows if x[0] == r), key=lambda x: (-x[2], x[1]))[:3]]
+
+
+@pytest.mark.parametrize("k", [3, 200])
+def test_many_dense_rows_travel_as_arrays(spark, monkeypatch, k):
+    """A dense row is sent once to each tile, not once per feature, and tiles do not grow in number with the rows."""
+    rng = np.random.default_rng(15)
+    dense = rng.standard_normal((150, 10))
+    dense[20:30] = dense[30]  # copies
+    dense[40, 2] = dense[41, 3] = dense[7] = 0.0
+    monkeypatch.setattr(S, "STRETCH_ROWS", 4)
+    monkeypatch.setattr(S, "PACKED_TILES", 5)
+    monkeypatch.setattr(S, "PIECE_ENTRIES", 300)
+    monkeypatch.setattr(S, "_tiled", None)
+    sent, to_pairs = [], S._to_pairs
+    monkeypatch.setattr(S, "_to_pairs", lambda *args: sent.append(to_pairs(*args)) or sent[0])
+    rows = S.top_similar(frame(spark, dense), k, tile_ids=16).collect()
+    assert sent[0].count() == 149 * 5
+    assert {(r["id"], r["neighbor"], r["sim"], r["rank"]) for r in rows} == best(cosine(dense), k)
