@@ -125,3 +125,17 @@ def test_store_is_built_once(spark, tmp_path, products):
     assert weights.count() == 9 and (tmp_path / "store" / "weights" / "_SUCCESS").exists()
     found = ask(spark, data, "갤럭시 중고폰", mode="corpus", index=index, weights=weights)
     assert found == [("0", 153709120, 1.414214), ("0", 153710656, 0.746044)]
+
+
+def test_texts_of_an_index_are_dealt_before_their_tokens(spark, monkeypatch):
+    """One input split becomes many tasks; neither terms nor postings are shuffled."""
+    monkeypatch.setattr(P, "TASK_LETTERS", 20)
+    rows = [(i % 40, f"red blue red w{i}") for i in range(60)] + [(None, "red"), (3, None)]
+    docs = spark.createDataFrame(rows, "id long, name string").coalesce(1)
+    dealt = P.dealt_texts(docs, "name", 16)
+    assert dealt.rdd.getNumPartitions() >= 40
+    index = P.inverted_index(P.with_tokens(dealt, "name"), 16)
+    assert index._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    got, want = ({(r["token"], r["segment"]): r["docu_list"] for r in found.collect()}
+                 for found in (index, P.inverted_index(P.with_tokens(docs, "name"), 16)))
+    assert got == want and got[("red", 1)] == [i for i in range(16, 32) for _ in range(2 if i >= 20 else 4)]

@@ -89,7 +89,7 @@ def _token_sql(docs: str) -> str:
 
 
 def _index(docs: DataFrame) -> DataFrame:
-    return postings.inverted_index(postings.with_tokens(docs, "name"), SEGMENT)
+    return postings.inverted_index(postings.with_tokens(postings.dealt_texts(docs, "name", SEGMENT), "name"), SEGMENT)
 
 
 def index_segments(docs: DataFrame) -> DataFrame:

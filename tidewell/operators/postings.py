@@ -8,20 +8,35 @@ from tidewell.functions.text import tokenize
 from tidewell.session import materialize
 
 SEGMENT_IDS = 4096
+TASK_LETTERS = 2_000_000
 
 
 def with_tokens(docs: DataFrame, text: str, tokenizer=tokenize) -> DataFrame:
     return docs.withColumn("token", tokenizer(F.col(text)))
 
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """(id, token ARRAY) -> (id, token, tf).
+def _segment(segment_ids: int) -> Column:
+    return F.expr(f"(cast(id AS BIGINT) - pmod(cast(id AS BIGINT), {segment_ids})) div {segment_ids}").alias("segment")
+
+
+def dealt_texts(docs: DataFrame, text: str, segment_ids: int = SEGMENT_IDS) -> DataFrame:
+    """``docs`` with their segment, dealt by it into as many tasks as the length of the texts asks for.
+
+    Tokens are then taken and counted, and lists of a segment made, without another shuffle.
+    """
+    length = docs.agg(F.coalesce(F.sum(F.length(text)), F.lit(0))).first()[0]
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return docs.select("*", _segment(segment_ids)).repartition(max(n, -(-length // TASK_LETTERS)), "segment")
+
+
+def term_counts(docs: DataFrame, *kept: str) -> DataFrame:
+    """(id, token ARRAY) -> (id, token, tf), with the columns ``kept`` that go by id.
 
     The outer explode keeps the planner from testing the list for being empty
     in the scan, which would run the tokenizer a second time.
     """
-    rows = docs.select("id", F.explode_outer("token").alias("token")).where(F.col("token").isNotNull())
-    return rows.groupBy("id", "token").agg(F.count("*").alias("tf"))
+    rows = docs.select("id", *kept, F.explode_outer("token").alias("token")).where(F.col("token").isNotNull())
+    return rows.groupBy("id", *kept, "token").agg(F.count("*").alias("tf"))
 
 
 def inverted_index(docs: DataFrame, segment_ids: int = SEGMENT_IDS) -> DataFrame:
@@ -31,14 +46,16 @@ def inverted_index(docs: DataFrame, segment_ids: int = SEGMENT_IDS) -> DataFrame
     into ranges of ``segment_ids`` ids, so that a token found in every document
     becomes many rows spread over all tasks instead of one row of any length.
     Ids are integers; a string id is cast, and one that is no integer fails.
+    ``docs`` of ``dealt_texts``, with the same ``segment_ids``, are not shuffled again.
     """
-    segment = F.expr(f"(cast(id AS BIGINT) - pmod(cast(id AS BIGINT), {segment_ids})) div {segment_ids}")
+    if "segment" not in docs.columns:
+        docs = docs.select("*", _segment(segment_ids))
     repeated = F.transform(
         F.array_sort(F.collect_list(F.struct("id", "tf"))), lambda x: F.array_repeat(x["id"], x["tf"].cast("int"))
     )
     return (
-        term_counts(docs)
-        .groupBy("token", segment.alias("segment"))
+        term_counts(docs, "segment")
+        .groupBy("token", "segment")
         .agg(F.flatten(repeated).alias("docu_list"))
     )
 
