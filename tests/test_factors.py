@@ -324,3 +324,32 @@ def test_users_with_few_ratings_are_added_up_once(spark):
 @pytest.mark.parametrize("items, users, ratings, times", [(20_000, 15_000, 600_000, 1), (120_000, 90_000, 3_600_000, 3), (10**6, 10**6, 10**7, 4)])
 def test_sparse_tiles_are_longer(items, users, ratings, times):
     assert factors.Tiles._longer(items, users, ratings) == times
+
+
+def test_a_pass_moves_vectors_to_stretches_of_users_and_back(spark, monkeypatch):
+    """One shuffle to the ratings, whatever the blocks, and a few users with few ratings are not set apart; a user may be null."""
+    for name, value in (("BLOCK", 8), ("STRETCH_RATINGS", 90), ("PIECE_RATINGS", 30)):
+        monkeypatch.setattr(factors, name, value)
+    rng = np.random.default_rng(5)
+    m = np.where(rng.random((40, 30)) < 0.3, rng.integers(1, 6, (40, 30)), 0).astype(float)
+    m[3] = 0
+    m[3, 7] = 2.0
+    u, i = np.nonzero(m)
+    rows = spark.createDataFrame([(int(a) if a else None, int(b), float(m[a, b])) for a, b in zip(u, i)], "user int, item int, rating double")
+    tiles = factors.Tiles(rows, 7)
+    assert tiles.pairs is None and tiles.users.count() == 40 and tiles.rated.keys.count() > 4 and len(tiles.rated.slots) >= 8
+    at = {(r["block"], r["place"]): r["item"] for r in tiles.items.collect()}
+    x, blocks = rng.standard_normal((30, 7)), {}
+    for block, place in sorted(at):
+        blocks.setdefault(block, []).append(at[block, place])
+    for width in (7, 3):
+        sent = spark.createDataFrame([(b, bytearray(x[items, :width].tobytes())) for b, items in blocks.items()], "i int, x binary")
+        product = tiles.product(sent, width)
+        text = product._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]
+        assert sum("Exchange hash" in line for line in text.splitlines()) == 1
+        parts, found = product.toArrow(), np.zeros((30, width))
+        for block, items in blocks.items():
+            some = parts.filter(np.asarray(parts.column("i")) == block)
+            found[items] = factors._added(some, width, len(items))
+        np.testing.assert_allclose(found, m.T @ (m @ x[:, :width]), atol=1e-9)
+    tiles.close()
