@@ -126,6 +126,27 @@ def test_sparse_rows_travel_to_few_tiles(spark, monkeypatch, entries):
     assert {(r["id"], r["neighbor"], r["sim"], r["rank"]) for r in rows} == best(cosine(m), 3)
 
 
+def test_sparse_tiles_are_stored_once(spark, monkeypatch):
+    """No row is sent to the tiles it meets: a task reads them one after the other, and holds few products at a time."""
+    rng = np.random.default_rng(16)
+    m = np.where(rng.random((300, 500)) < 0.008, rng.integers(1, 6, (300, 500)), 0).astype(float)
+    m[20:30] = m[30]  # copies: ties between tiles
+    r, c = np.nonzero(m)
+    rows = [(f"id {a:03d}", f"f{b}", float(m[a, b])) for a, b in zip(r, c)] + [("id 007", None, 1.0), (None, "f1", 2.0), ("id 008", "f2", None)]
+    vectors = spark.createDataFrame(rows, "id string, feature string, weight double")
+    monkeypatch.setattr(S, "TILE_ENTRIES", 70)
+    monkeypatch.setattr(S, "SLICE_PRODUCTS", 40)
+    monkeypatch.setattr(S, "_to_pairs", None)
+    limit = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    found = S.top_similar(vectors, 3, tile_ids=4).collect()
+    longer = np.append(m, np.zeros((300, 1)), axis=1)
+    longer[7, -1] = 1.0  # a missing feature counts for the length only
+    assert {(int(x["id"][3:]), int(x["neighbor"][3:]), x["sim"], x["rank"]) for x in found} == best(cosine(longer), 3)
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == limit
+    monkeypatch.setattr(S, "TILE_ENTRIES", 2)  # less than the rows of an id
+    assert S._sparse_tiles(vectors, 4) == 0
+
+
 def test_sparse_products_of_dense_rows(monkeypatch):
     """A row whose products are more than a slice is added up in one line."""
     rng = np.random.default_rng(13)
