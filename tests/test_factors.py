@@ -353,3 +353,33 @@ def test_a_pass_moves_vectors_to_stretches_of_users_and_back(spark, monkeypatch)
             found[items] = factors._added(some, width, len(items))
         np.testing.assert_allclose(found, m.T @ (m @ x[:, :width]), atol=1e-9)
     tiles.close()
+
+
+@pytest.mark.parametrize("basis", [128_000_000, 600])
+def test_long_vectors_are_sent_once(spark, dense, known, monkeypatch, basis):
+    """However many pieces of ratings, a pass shuffles no copy of the vectors for them; a short basis gives the same factors."""
+    for name, value in (("SENT_ENTRIES", 10), ("PIECE_RATINGS", 90), ("BLOCK", 8), ("BASIS_ENTRIES", basis)):
+        monkeypatch.setattr(factors, name, value)
+    rows = known.toDF("user", "item", "rating")
+    tiles = factors.Tiles(rows, 3)
+    assert tiles.rated.keys.count() > 4
+    blocks = tiles.items.groupBy("block").count().selectExpr("block as i", "unhex(repeat('00', int(24 * count))) as x")
+    text = tiles.product(blocks, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text
+    tiles.close()
+    model = factors.item_factors(rows, K, True)
+    sigma, v = truth(dense - dense.mean(1, keepdims=True), K)
+    np.testing.assert_allclose(model.sigma, sigma, rtol=1e-9)
+    np.testing.assert_allclose(np.array([r["factor"] for r in model.items.orderBy("item").collect()]), v, atol=1e-6)
+
+
+def test_profiles_are_added_up_beside_the_ratings(spark, dense, known, model, monkeypatch):
+    """Profiles of many ratings: no row of factors is moved for a rating, and the sums are those of a matrix product."""
+    monkeypatch.setattr(factors, "PIECE_RATINGS", 50)
+    monkeypatch.setattr(factors, "_sum_array", None)
+    fitted = factors.item_factors(known.toDF("user", "item", "rating"), K)
+    rows = factors.user_profiles(known.toDF("user", "item", "rating"), fitted).collect()
+    v = np.array([r["factor"] for r in fitted.items.orderBy("item").collect()])
+    got = {r["user"] - 100: r["profile"] for r in rows}
+    assert len(rows) == len(got) == 60
+    np.testing.assert_allclose(np.array([got[u] for u in range(60)]), dense @ v, atol=1e-9)
