@@ -355,6 +355,21 @@ def test_a_pass_moves_vectors_to_stretches_of_users_and_back(spark, monkeypatch)
     tiles.close()
 
 
+@pytest.mark.parametrize("asked", [[100, 130, 5], [5]])
+def test_best_unseen_of_some_users_by_pieces(spark, dense, known, model, predictions, monkeypatch, asked):
+    """A piece of movies is scored only where it may reach a user's n-th best, and no pair is moved; an unknown user gets none."""
+    monkeypatch.setattr(latent, "PIECE_ITEMS", 3)
+    monkeypatch.setattr(latent, "_tile_pairs", None)
+    users = spark.createDataFrame([(u,) for u in asked], "userId long")
+    rows = latent.top_unseen(model, known, users, 2).collect()
+    want = set()
+    for u in {*asked} - {5}:
+        left = [i for i in range(35) if dense[u - 100, i] == 0]
+        best = sorted(left, key=lambda i: (-round(predictions[u - 100, i], 6), i))[:2]
+        want |= {(u, i + 10, rank) for rank, i in enumerate(best, 1)}
+    assert {(r["userId"], r["movieId"], r["rank"]) for r in rows} == want
+
+
 @pytest.mark.parametrize("basis", [128_000_000, 600])
 def test_long_vectors_are_sent_once(spark, dense, known, monkeypatch, basis):
     """However many pieces of ratings, a pass shuffles no copy of the vectors for them; a short basis gives the same factors."""
